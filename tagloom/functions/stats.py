@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,0)"
+SUMS = ("n", "x", "y", "xx", "yy", "xy")
 
 
 def corr_or_null(x: Column, y: Column) -> Column:
@@ -53,7 +54,11 @@ class Moments:
 
     def of_sums(self) -> list[Column]:
         """Aggregates that add up the sums of smaller groups."""
-        return self._named(**{name: F.sum(self[name]) for name in ("n", "x", "y", "xx", "yy", "xy")})
+        return self._named(**{name: F.sum(self[name]) for name in SUMS})
+
+    @property
+    def columns(self) -> list[Column]:
+        return [self[name] for name in SUMS]
 
     def shifted(self, origin: Column) -> list[Column]:
         """The sums as if ``origin`` had been taken from every x."""

@@ -23,7 +23,8 @@ def has_two_tags(text: Column) -> Column:
 def tag_pairs(tags: Column, first: Column | None = None) -> Column:
     """Array of (tag1, tag2) with tag1 < tag2, one per pair of occurrences.
 
-    ``first`` limits the tags that may stand first.
+    ``first`` limits the tags that may stand first. ``tags`` should be a column
+    made in an earlier select: as an expression it would run again per tag.
     """
     return F.flatten(
         F.transform(

@@ -77,5 +77,5 @@ def post_tags(posts: DataFrame) -> DataFrame:
 def question_tag_pairs(posts: DataFrame) -> DataFrame:
     """One row per question and unordered pair of its tags."""
     q = questions(posts).where(has_two_tags(F.col("tags")))
-    pairs = tag_pairs(extract_tags(F.col("tags")))
-    return q.select(F.col("id").alias("question_id"), F.inline(pairs))
+    q = q.select(F.col("id").alias("question_id"), extract_tags(F.col("tags")).alias("tags"))
+    return q.select("question_id", F.inline(tag_pairs(F.col("tags"))))

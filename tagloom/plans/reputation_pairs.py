@@ -42,17 +42,18 @@ def reputation_pairs(
         .groupBy("parent_id")
         .agg(*M.of_rows(F.col("time"), F.col("reputation")))
     )
-    text = F.col("tags")
-    q = questions(posts).where(has_two_tags(text))
+    q = questions(posts).where(has_two_tags(F.col("tags")))
     if tag is None:
-        pairs = tag_pairs(extract_tags(text))
+        pairs = tag_pairs(F.col("tags"))
     else:
-        q = q.where(F.contains(text, F.lit(tag)))
-        pairs = anchored_tag_pairs(extract_tags(text), tag)
+        q = q.where(F.contains("tags", F.lit(tag)))
+        pairs = anchored_tag_pairs(F.col("tags"), tag)
     q = q.select("id", "tags", epoch_millis(F.col("creation_date")).alias("asked"))
     per_pair = (
         q.join(per_question, q["id"] == per_question["parent_id"])
-        .select(F.inline(pairs), *M.shifted(F.col("asked")))
+        # Once per question, before the pairs unfold.
+        .select(extract_tags(F.col("tags")).alias("tags"), *M.shifted(F.col("asked")))
+        .select(F.inline(pairs), *M.columns)
         .groupBy("tag1", "tag2")
         .agg(*M.of_sums())
         .where(M["n"] >= min_count)

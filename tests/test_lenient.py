@@ -1,0 +1,79 @@
+"""Attribute texts that are absent, empty, odd or bad."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.functions import lenient
+
+YEAR_1 = datetime.datetime(1, 1, 1)
+
+
+@pytest.fixture
+def value_of(spark):
+    def run(make, text):
+        df = spark.createDataFrame([(text,)], "x string")
+        return df.select(make(F.col("x"))).first()[0]
+
+    return run
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("5", 5), ("+5", 5), ("-7", -7), ("007", 7),
+        (None, 0), ("", 0), (" 5 ", 0), ("5.0", 0), ("1e3", 0), ("x", 0), ("--1", 0),
+        ("2147483647", 2147483647), ("2147483648", 0), ("99999999999999999999", 0),
+    ],
+)
+def test_required_number(value_of, text, expected):
+    assert value_of(lambda x: lenient.number(x, "int"), text) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected", [(None, None), ("", None), ("x", 0), (" 1", 0), ("3000000000", 3000000000)]
+)
+def test_optional_number(value_of, text, expected):
+    assert value_of(lambda x: lenient.optional_number(x, "bigint"), text) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2011-01-03T20:52:52.880", datetime.datetime(2011, 1, 3, 20, 52, 52, 880000)),
+        ("2011-01-03T20:52:52,880", datetime.datetime(2011, 1, 3, 20, 52, 52, 880000)),
+        ("2011-01-03T20:52:52.88", None),
+        ("2011-01-03T20:52:52.8800", None),
+        ("2011-01-03T20:52:52", None),
+        ("2011-01-03 20:52:52.880", None),
+        ("2011-01-03T20:52:52.880Z", None),
+        ("2011-02-30T00:00:00.000", None),
+        ("2011-01-05", None),
+        ("bad", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_timestamps(value_of, text, expected):
+    assert value_of(lenient.optional_timestamp, text) == expected
+    assert value_of(lenient.timestamp, text) == (expected or YEAR_1)
+    assert value_of(lambda x: lenient.timestamp(x, bad="null"), text) == expected
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark, value_of):
+    # 02:30 does not exist on that day in New York.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = value_of(lenient.timestamp, "2011-03-13T02:30:00.000")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == datetime.datetime(2011, 3, 13, 2, 30)
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [("True", True), ("true", True), ("TRUE", True), ("1", False), ("", False), (None, False)],
+)
+def test_flag(value_of, text, expected):
+    assert value_of(lenient.flag, text) is expected
