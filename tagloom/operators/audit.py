@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.references import reference_values, without_target
 from tagloom.schemas import ENTITIES, FOREIGN_KEYS
 
 
@@ -24,25 +25,21 @@ def fk_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     parts = []
     for parent in dict.fromkeys(p for _, _, p in FOREIGN_KEYS):
-        keys = [(child, column) for child, column, p in FOREIGN_KEYS if p == parent]
+        keys = sorted((child, column) for child, column, p in FOREIGN_KEYS if p == parent)
         streams = []
         for child in dict.fromkeys(c for c, _ in keys):
-            cells: list[Column] = []
-            for i, (table, column) in enumerate(keys):
-                if table == child:
-                    cells += [F.lit(i), F.col(column)]
-            stacked = F.stack(F.lit(len(cells) // 2), *cells).alias("slot", "value")
-            streams.append(tables[child].select(stacked).where("value is not null"))
+            slots = [i for i, (table, _) in enumerate(keys) if table == child]
+            columns = [keys[i][1] for i in slots]
+            streams.append(reference_values(tables[child], columns, first_slot=slots[0]))
         counts = _reports(streams).groupBy("value").agg(
             *[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(len(keys))]
         )
-        ids = tables[parent].select("id")
-        orphans = counts.join(ids, counts["value"] == ids["id"], "left_anti")
+        orphans = without_target(counts, tables[parent].select("id"))
         totals = orphans.agg(
             *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"rows{i}") for i in range(len(keys))],
             *[F.count_if(F.col(f"n{i}") > 0).alias(f"values{i}") for i in range(len(keys))],
         )
-        cells = []
+        cells: list[Column] = []
         for i, (child, column) in enumerate(keys):
             cells += [F.lit(child), F.lit(column), F.lit(parent), F.col(f"rows{i}"), F.col(f"values{i}")]
         report = F.stack(F.lit(len(keys)), *cells)

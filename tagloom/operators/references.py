@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,20 +14,38 @@ from tagloom.session import settled
 BROADCAST_VALUES = 1_000_000
 
 
-def dangling_values(child: DataFrame, column: str, parent_ids: DataFrame) -> DataFrame:
-    """Distinct values of ``column`` that are no id of the parent, as ``value``.
+def reference_values(child: DataFrame, columns: Sequence[str], first_slot: int = 0) -> DataFrame:
+    """(slot, value) per reference that is not NULL; the slot counts the columns."""
+    if len(columns) == 1:  # a plain select lets the filter reach the scan
+        cells = child.select(F.lit(first_slot).alias("slot"), F.col(columns[0]).alias("value"))
+    else:
+        pairs = [c for i, name in enumerate(columns) for c in (F.lit(first_slot + i), F.col(name))]
+        cells = child.select(F.stack(F.lit(len(columns)), *pairs).alias("slot", "value"))
+    return cells.where("value is not null")
+
+
+def without_target(values: DataFrame, parent_ids: DataFrame) -> DataFrame:
+    """The rows of ``values`` whose value is no id of the parent."""
+    parent = parent_ids.select(F.col(parent_ids.columns[0]).alias("_id"))
+    return values.join(parent, values["value"] == parent["_id"], "left_anti")
+
+
+def dangling_values(child: DataFrame, columns: Sequence[str], parent_ids: DataFrame) -> DataFrame:
+    """Distinct values of the columns that are no id of the parent: ``value``, and
+    ``in0``, ``in1``, ... for the columns that hold it.
 
     Values are made distinct before they are shuffled to the join, so neither
-    the NULLs nor a value that many rows share reach it.
+    the NULLs nor a value that many rows share reach it, and the parent's ids
+    are shuffled once for all columns.
     """
-    parent = parent_ids.select(F.col(parent_ids.columns[0]).alias("parent_id"))
-    values = child.select(F.col(column).alias("value")).where("value is not null").distinct()
-    return values.join(parent, values["value"] == parent["parent_id"], "left_anti")
+    values = reference_values(child, columns).groupBy("value")
+    flags = [F.bool_or(F.col("slot") == i).alias(f"in{i}") for i in range(len(columns))]
+    return without_target(values.agg(*flags), parent_ids)
 
 
 def orphan_rows(child: DataFrame, column: str, parent_ids: DataFrame) -> DataFrame:
     """Rows of ``child`` whose reference has no target. NULL references are fine."""
-    gone = settled(dangling_values(child, column, parent_ids))
+    gone = settled(dangling_values(child, [column], parent_ids).select("value"))
     return child.join(gone, child[column] == gone["value"], "left_semi")
 
 
@@ -48,21 +66,23 @@ def null_dangling(
     """
     columns, marks, broken = rows.columns, {}, []
     source = rows if slim is None else slim
-    for column, parent_ids in parents.items():
-        gone = settled(dangling_values(source, column, parent_ids))
-        size = gone.count()
-        if size == 0:
-            continue
-        mark = f"_gone_{column}"
-        gone = gone.withColumnRenamed("value", mark)
-        if size <= broadcast_values:
-            marks[column] = F.col(mark).isNotNull()
-            rows = rows.join(F.broadcast(gone), F.col(column) == F.col(mark), "left")
-        else:
-            marks[column] = F.coalesce(F.col(f"_broken.{column}"), F.lit(False))
-            pairs = source.select(F.col(key).alias("_key"), F.col(column).alias("_value"))
-            hits = pairs.join(gone, F.col("_value") == F.col(mark))
-            broken.append(hits.select("_key", F.lit(column).alias("_column")))
+    for parent_ids in {id(p): p for p in parents.values()}.values():
+        names = [c for c, p in parents.items() if p is parent_ids]
+        gone = settled(dangling_values(source, names, parent_ids))
+        sizes = gone.agg(*[F.count_if(f"in{i}") for i in range(len(names))]).first()
+        for i, column in enumerate(names):
+            if sizes[i] == 0:
+                continue
+            mark = f"_gone_{column}"
+            values = gone.where(f"in{i}").select(F.col("value").alias(mark))
+            if sizes[i] <= broadcast_values:
+                marks[column] = F.col(mark).isNotNull()
+                rows = rows.join(F.broadcast(values), F.col(column) == F.col(mark), "left")
+            else:
+                marks[column] = F.coalesce(F.col(f"_broken.{column}"), F.lit(False))
+                pairs = source.select(F.col(key).alias("_key"), F.col(column).alias("_value"))
+                hits = pairs.join(values, F.col("_value") == F.col(mark))
+                broken.append(hits.select("_key", F.lit(column).alias("_column")))
     if broken:
         hits = reduce(DataFrame.unionByName, broken)
         flags = [F.bool_or(F.col("_column") == c).alias(c) for c in marks]

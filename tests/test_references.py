@@ -32,6 +32,11 @@ def test_null_dangling(spark, rows, children, broadcast_values):
     ]
     assert rows(got) == sorted(expected, key=repr)
     assert got.columns == df.columns
+    same_parent = dict.fromkeys(parents, parents["x"])
+    got_same = null_dangling(df, same_parent, broadcast_values=broadcast_values)
+    known = (1, 2, 3)
+    expected = [(i, x if x in known else None, y if y in known else None, w) for i, x, y, w in children]
+    assert rows(got_same) == sorted(expected, key=repr)
     again = null_dangling(got, parents, broadcast_values=broadcast_values)
     assert rows(again) == rows(got)
 
@@ -45,7 +50,11 @@ def test_nothing_dangling_leaves_the_plan_alone(spark):
 def test_dangling_values_and_orphan_rows(spark, rows, children):
     df = spark.createDataFrame(children, SCHEMA)
     ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
-    assert rows(dangling_values(df, "x", ids)) == [(0,), (404,), (500,)]
+    assert rows(dangling_values(df, ["x"], ids), "value") == [(0,), (404,), (500,)]
+    both = dangling_values(df, ["x", "y"], spark.createDataFrame([(404,)], "id long"))
+    for value, in_x, in_y in both.collect():
+        assert in_x == any(r[1] == value for r in children)
+        assert in_y == any(r[2] == value for r in children)
     expected = [r for r in children if r[1] in (0, 404, 500)]
     assert rows(orphan_rows(df, "x", ids)) == sorted(expected, key=repr)
 
