@@ -8,6 +8,8 @@ target and NULL keys are there on purpose.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,9 +147,11 @@ def ctes(*names: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    sql = view_sql(name)
     for source in SOURCES:
-        spark.read.parquet(f"{sf_dir}/{source}.parquet").createOrReplaceTempView(source)
-    return spark.sql(view_sql(name))
+        if re.search(rf"\b{source}\b", sql):
+            spark.read.parquet(f"{sf_dir}/{source}.parquet").createOrReplaceTempView(source)
+    return spark.sql(sql)
 
 
 def _absent(field: Field) -> Column:
