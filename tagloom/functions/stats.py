@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,0)"
@@ -79,35 +79,33 @@ class Moments:
             for name, c in columns.items()
         ]
 
-    def mean_x(self) -> Column:
-        return self["x"].cast("double") / self["n"]
+    def statistics(self, sums: DataFrame, *keys: str) -> DataFrame:
+        """Per row of sums: n, mean_x, mean_y, stddev_x (sample; NULL for a single
+        row) and corr (NULL where a side has no variance).
 
-    def mean_y(self) -> Column:
-        return self["y"].cast("double") / self["n"]
-
-    def _near_mean(self, name: str) -> Column:
-        return F.call_function("div", _exact(self[name]), _exact(self["n"])).cast(EXACT)
-
-    def _about_mean(self, a: str, b: str) -> Column:
-        """Sum of (a - mean a)(b - mean b).
-
-        Taken about whole numbers next to the means, still exact; only the
-        last step, whose correction is below n, is in doubles.
+        The sums are taken about p and q, whole numbers next to the means, and
+        are still exact; only the last step, whose correction is below n, is in
+        doubles.
         """
-        n = _exact(self["n"])
-        p, q = self._near_mean(a), self._near_mean(b)
-        about = self[a + b] - p * self[b] - q * self[a] + n * p * q
-        rest_a = (self[a] - n * p).cast("double")
-        rest_b = (self[b] - n * q).cast("double")
-        return about.cast("double") - rest_a * rest_b / self["n"]
-
-    def stddev_x(self) -> Column:
-        """Sample deviation; NULL for a single row."""
-        spread = F.greatest(self._about_mean("x", "x"), F.lit(0.0))
-        return F.when(self["n"] > 1, F.sqrt(F.try_divide(spread, self["n"] - 1)))
-
-    def corr(self) -> Column:
-        """Correlation; NULL where a side has no variance."""
-        scale = F.sqrt(self._about_mean("x", "x")) * F.sqrt(self._about_mean("y", "y"))
-        r = F.try_divide(self._about_mean("x", "y"), scale)
-        return F.when(scale > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+        exact = [f"cast({self.prefix}{c} as {EXACT}) as {c}" for c in SUMS[1:]]
+        near = sums.selectExpr(*keys, f"{self.prefix}n as n", *exact).selectExpr(
+            "*", f"cast(x div n as {EXACT}) as p", f"cast(y div n as {EXACT}) as q"
+        )
+        about = near.selectExpr(
+            *keys,
+            "n",
+            "double(x) / n as mean_x",
+            "double(y) / n as mean_y",
+            "double(xx - 2 * p * x + n * p * p) - double(x - n * p) * double(x - n * p) / n as xx",
+            "double(yy - 2 * q * y + n * q * q) - double(y - n * q) * double(y - n * q) / n as yy",
+            "double(xy - p * y - q * x + n * p * q) - double(x - n * p) * double(y - n * q) / n as xy",
+        )
+        return about.selectExpr(
+            *keys,
+            "n",
+            "mean_x",
+            "mean_y",
+            "sqrt(greatest(xx, 0d) / nullif(n - 1, 0)) as stddev_x",
+            """case when xx > 0 and yy > 0
+                 then greatest(-1d, least(1d, xy / (sqrt(xx) * sqrt(yy)))) end as corr""",
+        )

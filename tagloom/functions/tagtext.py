@@ -18,30 +18,3 @@ def extract_tags(text: Column) -> Column:
 def has_two_tags(text: Column) -> Column:
     """Whether the text holds at least two tags, without building the array."""
     return text.rlike(TWO_TAGS)
-
-
-def tag_pairs(tags: Column, first: Column | None = None) -> Column:
-    """Array of (tag1, tag2) with tag1 < tag2, one per pair of occurrences.
-
-    ``first`` limits the tags that may stand first. ``tags`` should be a column
-    made in an earlier select: as an expression it would run again per tag.
-    """
-    return F.flatten(
-        F.transform(
-            tags if first is None else first,
-            lambda x: F.transform(
-                F.filter(tags, lambda y: y > x),
-                lambda y: F.struct(x.alias("tag1"), y.alias("tag2")),
-            ),
-        )
-    )
-
-
-def anchored_tag_pairs(tags: Column, tag: str) -> Column:
-    """The pairs that start with ``tag``.
-
-    They repeat once per occurrence of ``tag``, as rows do when a table is
-    joined to the post-tag rows of that tag.
-    """
-    anchor = F.filter(tags, lambda x: x == tag)
-    return F.flatten(F.array_repeat(tag_pairs(tags, first=anchor), F.size(anchor)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.tagtext import extract_tags, has_two_tags, tag_pairs
+from tagloom.functions.tagtext import extract_tags, has_two_tags
 from tagloom.functions.timing import minutes_between
 from tagloom.schemas import ANSWER, QUESTION
 
@@ -74,8 +74,27 @@ def post_tags(posts: DataFrame) -> DataFrame:
     )
 
 
+def unfold_tag_pairs(rows: DataFrame, tag: str | None = None) -> DataFrame:
+    """A row per pair tag1 < tag2 out of the array column ``tags``, which goes.
+
+    A repeated tag repeats its pairs. With ``tag`` only pairs that start with
+    it, once more per occurrence of it: as rows do when they are also joined to
+    the post-tag rows of that tag.
+    """
+    rest = [c for c in rows.columns if c != "tags"]
+    if tag is None:
+        rows = rows.select("*", F.explode("tags").alias("tag1"))
+    else:
+        anchor = F.filter("tags", lambda t: t == tag)
+        rows = rows.select("*", anchor.alias("_anchor"))
+        rows = rows.select(*rest, "tags", "_anchor", F.explode("_anchor").alias("tag1"))
+        rows = rows.select(*rest, "tags", "tag1", F.explode("_anchor"))
+    pairs = rows.select(*rest, "tag1", F.explode("tags").alias("tag2"))
+    return pairs.where("tag1 < tag2")
+
+
 def question_tag_pairs(posts: DataFrame) -> DataFrame:
     """One row per question and unordered pair of its tags."""
     q = questions(posts).where(has_two_tags(F.col("tags")))
     q = q.select(F.col("id").alias("question_id"), extract_tags(F.col("tags")).alias("tags"))
-    return q.select("question_id", F.inline(tag_pairs(F.col("tags"))))
+    return unfold_tag_pairs(q)

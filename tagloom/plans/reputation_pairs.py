@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.stats import Moments
-from tagloom.functions.tagtext import anchored_tag_pairs, extract_tags, has_two_tags, tag_pairs
+from tagloom.functions.tagtext import extract_tags, has_two_tags
 from tagloom.functions.timing import epoch_millis
-from tagloom.operators.posts import answers, questions
+from tagloom.operators.posts import answers, questions, unfold_tag_pairs
 
 # x: answer time in milliseconds, y: reputation of the author
 M = Moments()
@@ -43,29 +43,22 @@ def reputation_pairs(
         .agg(*M.of_rows(F.col("time"), F.col("reputation")))
     )
     q = questions(posts).where(has_two_tags(F.col("tags")))
-    if tag is None:
-        pairs = tag_pairs(F.col("tags"))
-    else:
+    if tag is not None:
         q = q.where(F.contains("tags", F.lit(tag)))
-        pairs = anchored_tag_pairs(F.col("tags"), tag)
     q = q.select("id", "tags", epoch_millis(F.col("creation_date")).alias("asked"))
-    per_pair = (
-        q.join(per_question, q["id"] == per_question["parent_id"])
-        # Once per question, before the pairs unfold.
-        .select(extract_tags(F.col("tags")).alias("tags"), *M.shifted(F.col("asked")))
-        .select(F.inline(pairs), *M.columns)
-        .groupBy("tag1", "tag2")
-        .agg(*M.of_sums())
-        .where(M["n"] >= min_count)
-    )
-    result = per_pair.select(
+    answered = q.join(per_question, q["id"] == per_question["parent_id"])
+    # Tags and shift once per question, before the pairs unfold.
+    answered = answered.select(extract_tags(F.col("tags")).alias("tags"), *M.shifted(F.col("asked")))
+    per_pair = unfold_tag_pairs(answered, tag).groupBy("tag1", "tag2").agg(*M.of_sums())
+    found = M.statistics(per_pair.where(M["n"] >= min_count), "tag1", "tag2")
+    result = found.select(
         "tag1",
         "tag2",
-        M["n"].alias("pair_count"),
-        (M.mean_x() / MILLIS_PER_MINUTE).alias("avg_response_time_minutes"),
-        M.mean_y().alias("avg_answerer_reputation"),
-        (M.stddev_x() / MILLIS_PER_MINUTE).alias("stddev_response_time"),
-        M.corr().alias("correlation_time_reputation"),
+        F.col("n").alias("pair_count"),
+        (F.col("mean_x") / MILLIS_PER_MINUTE).alias("avg_response_time_minutes"),
+        F.col("mean_y").alias("avg_answerer_reputation"),
+        (F.col("stddev_x") / MILLIS_PER_MINUTE).alias("stddev_response_time"),
+        F.col("corr").alias("correlation_time_reputation"),
     )
     if limit is None:
         return result

@@ -27,20 +27,11 @@ def read_xml_rows(
     A malformed row keeps its text in the corrupt column, or with
     ``mode="failfast"`` stops the job.
     """
-    records = spark.read.text(path, lineSep="<row").select(
-        "value",
-        F.col("_metadata.file_block_start").alias("block"),
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            # Grows along a block, whatever else the task reads.
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(POSITION),
-    )
+    records = spark.read.text(path, lineSep="<row").select("value", "_metadata")
     # What precedes the first row (space, prolog, root tag) and longer names such
     # as <rows> are no rows.
-    value = F.col("value")
-    head = (F.col("block") == 0) & value.rlike(r"^\s*(<|$)")
+    value, block = F.col("value"), F.col("_metadata.file_block_start")
+    head = (block == 0) & value.rlike(r"^\s*(<|$)")
     rows = records.where(value.rlike(r"^[\s/>]") & ~head)
     schema = ", ".join(f"`_{a}` STRING" for a in attributes) + f", {CORRUPT} STRING"
     options = {
@@ -49,9 +40,16 @@ def read_xml_rows(
         "columnNameOfCorruptRecord": CORRUPT,
         "ignoreSurroundingSpaces": "false",
     }
-    # Text after the end of the row element is passed over.
+    # Text after the end of the row element is passed over. The row number grows
+    # along a block, whatever else the task reads; standing next to from_xml it
+    # also keeps later filters from being pushed below and parsing every row twice.
     parsed = rows.select(
-        F.from_xml(F.concat(F.lit("<row"), value), schema, options).alias("r"), POSITION
+        F.from_xml(F.concat(F.lit("<row"), value), schema, options).alias("r"),
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            block.alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias(POSITION),
     )
     return parsed.select(
         *[F.col(f"r._{a}").alias(a) for a in attributes], f"r.{CORRUPT}", POSITION

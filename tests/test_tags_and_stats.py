@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions.stats import Moments, corr_or_null
-from tagloom.functions.tagtext import anchored_tag_pairs, extract_tags, has_two_tags, tag_pairs
+from tagloom.functions.tagtext import extract_tags, has_two_tags
 from tagloom.functions.timing import epoch_millis, micros_between, minutes_between
-from tagloom.operators.posts import post_tags
+from tagloom.operators.posts import post_tags, unfold_tag_pairs
 
 T = datetime.datetime
 
@@ -39,8 +39,10 @@ def test_extract_tags(spark, text, tags):
 
 @pytest.mark.parametrize("tags", [[], ["a"], ["b", "a"], ["a", "a", "b"], list("fbdace"), ["x"] * 3])
 def test_tag_pairs(spark, tags):
-    df = spark.createDataFrame([(tags,)], "tags array<string>")
-    got = sorted(tuple(p) for p in df.select(tag_pairs(F.col("tags"))).first()[0])
+    df = spark.createDataFrame([(1, tags)], "id long, tags array<string>")
+    pairs = unfold_tag_pairs(df)
+    assert pairs.columns == ["id", "tag1", "tag2"]
+    got = sorted((r["tag1"], r["tag2"]) for r in pairs.collect())
     assert got == sorted(p for p in itertools.product(tags, tags) if p[0] < p[1])
     if len(set(tags)) == len(tags):
         assert len(got) == len(tags) * (len(tags) - 1) // 2
@@ -48,13 +50,13 @@ def test_tag_pairs(spark, tags):
 
 def test_anchored_pairs_repeat_as_a_join_would(spark):
     tags = ["b", "a", "b", "c", "d"]
-    df = spark.createDataFrame([(tags,)], "tags array<string>")
-    got = sorted(tuple(p) for p in df.select(anchored_tag_pairs(F.col("tags"), "b")).first()[0])
+    df = spark.createDataFrame([(tags, 1)], "tags array<string>, id long")
+    got = sorted((r["tag1"], r["tag2"]) for r in unfold_tag_pairs(df, "b").collect())
     expected = sorted(
         (x, y) for scope in tags if scope == "b" for x in tags if x == "b" for y in tags if x < y
     )
     assert got == expected
-    assert df.select(anchored_tag_pairs(F.col("tags"), "z")).first()[0] == []
+    assert unfold_tag_pairs(df, "z").collect() == []
 
 
 @pytest.mark.parametrize(
@@ -115,7 +117,7 @@ def test_moments_added_up_in_parts(spark, name):
         .agg(*m.of_rows(F.col("x"), F.col("y")))
         .select(*m.shifted(F.col("part") * origin))
     )
-    row = parts.agg(*m.of_sums()).select(m["n"], m.mean_x(), m.mean_y(), m.stddev_x(), m.corr()).first()
+    row = m.statistics(parts.agg(*m.of_sums())).first()
     deviation, corr = expected_stats(pairs)
     assert row[0] == len(pairs)
     assert row[1] == pytest.approx(sum(p[0] for p in pairs) / len(pairs), rel=1e-15)
@@ -136,6 +138,7 @@ def test_moments_of_many_far_rows_do_not_overflow(spark):
     # rows without a usable date carry the year 1
     m = Moments()
     df = spark.range(100_000).select(F.lit(-62135596800000).alias("x"), F.lit(2147483647).alias("y"))
-    row = df.agg(*m.of_rows(F.col("x"), F.col("y"))).select(*m.shifted(F.lit(1735689600000)))
-    row = row.select(m["n"], m.stddev_x(), m.corr(), m.mean_x()).first()
-    assert tuple(row) == (100_000, 0.0, None, -62135596800000.0 - 1735689600000.0)
+    sums = df.agg(*m.of_rows(F.col("x"), F.col("y"))).select(*m.shifted(F.lit(1735689600000)))
+    row = m.statistics(sums).first()
+    mean = -62135596800000.0 - 1735689600000.0
+    assert tuple(row) == (100_000, mean, 2147483647.0, 0.0, None)
