@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tagloom.session import settled
 
+# Rows of the new side above which a merge keeps rows outside its key range apart.
+SPLIT_ABOVE = 1_000_000
+
 
 def collapse_repeats(
     rows: DataFrame,
@@ -46,6 +49,7 @@ def merge_upsert(
     key: str = "id",
     update: Sequence[str] = (),
     order: Column | None = None,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """``base`` with the rows of ``new``: an unknown key adds its row, a known
     key overwrites the ``update`` columns only (none: the row is ignored).
@@ -53,22 +57,32 @@ def merge_upsert(
     ``base`` has unique keys; repeated keys in ``new`` act one after another in
     ``order``. The wide rows of ``base`` meet only the key and update columns of
     ``new``, so they stay in place whenever those are small enough to broadcast.
+    Otherwise only rows of ``base`` within the key range of ``new`` are shuffled.
+    Sites number their rows from one, so a small site reaches few of a big one's,
+    and the scan skips to them by the key statistics of the files.
     """
+    size, low, high = new.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    if size == 0:
+        return base
     new = collapse_repeats(new, key, update, order).select(*base.columns)
-    added = new.join(base.select(key), key, "left_anti").select(*base.columns)
+    in_range = F.col(key).between(low, high)
+    near = base.where(in_range)
+    added = new.join(near.select(key), key, "left_anti").select(*base.columns)
     if not update:
         return base.unionByName(added)
     fresh = new.select(F.col(key).alias("_key"), F.struct(*update).alias("_fresh"))
-    joined = base.join(fresh, base[key] == fresh["_key"], "left")
+    met = near if size > split_above else base
     known = F.col("_key").isNotNull()
-    updated = joined.select(
+    updated = met.join(fresh, met[key] == fresh["_key"], "left").select(
         *[
-            F.when(known, F.col(f"_fresh.{c}")).otherwise(base[c]).alias(c)
+            F.when(known, F.col(f"_fresh.{c}")).otherwise(met[c]).alias(c)
             if c in update
-            else base[c]
+            else met[c]
             for c in base.columns
         ]
     )
+    if met is near:
+        updated = updated.unionByName(base.where(~in_range | F.col(key).isNull()))
     return updated.unionByName(added)
 
 

@@ -32,7 +32,7 @@ def local_session(cores: int | str = "*", memory: str = "12g", **conf: str) -> S
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares among its executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")

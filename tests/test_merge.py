@@ -23,10 +23,11 @@ def fold(base, new, update):
     return sorted((tuple(r.values()) for r in known.values()), key=repr)
 
 
+@pytest.mark.parametrize("split_above", [1_000_000, 0], ids=["whole base", "key range"])
 @pytest.mark.parametrize("update", [(), ("b",), ("a", "b")])
-def test_same_as_row_by_row(spark, rows, update):
+def test_same_as_row_by_row(spark, rows, update, split_above):
     random.seed(3)
-    base = [(i, f"base{i}", i, -1) for i in range(0, 60, 2)]
+    base = [(i, f"base{i}", i, -1) for i in range(-20, 120, 2)]
     new = [
         (random.randrange(80), random.choice([None, f"new{t}"]), random.choice([None, t]), t)
         for t in range(150)
@@ -39,6 +40,7 @@ def test_same_as_row_by_row(spark, rows, update):
         spark.createDataFrame(new, SCHEMA).repartition(5),
         update=update,
         order=F.col("at"),
+        split_above=split_above,
     )
     assert rows(got) == fold(base, new, update)
 
@@ -75,3 +77,16 @@ def test_repeats_without_an_order_collapse_repeatably(spark, rows):
 def test_unique_rows_are_not_grouped(spark):
     df = spark.range(100).withColumn("wide", F.lit("w"))
     assert collapse_repeats(df) is df
+
+
+def test_rows_outside_the_key_range_are_not_shuffled(spark, tmp_path):
+    # Range-partitioned by key, as a dump is.
+    spark.range(1000).selectExpr("id", "cast(id as string) as a", "1 as b", "0 as at").write.parquet(
+        str(tmp_path / "base")
+    )
+    base = spark.read.parquet(str(tmp_path / "base"))
+    new = spark.range(40).selectExpr("id", "'n' as a", "2 as b", "0 as at")
+    got = merge_upsert(base, new, update=("b",), split_above=0)
+    assert got.where("b = 2").count() == 40 and got.count() == 1000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,0), LessThanOrEqual(id,39)]" in plan

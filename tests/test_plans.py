@@ -1,0 +1,93 @@
+"""What the plans must and must not hold at scale."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_module
+from tagloom.fixtures import tables
+from tagloom.operators.audit import fk_audit
+from tagloom.operators.references import null_dangling
+from tagloom.plans.low_scored_accepted import low_scored_accepted
+from tagloom.plans.reputation_pairs import reputation_pairs
+from tagloom.schemas import REPAIRED_KEYS
+from tagloom.session import work_folder
+from tagloom.sinks.tables import read_tables, write_tables
+from tagloom.sources.site import ingest
+from tagloom.sources.xml_rows import good_rows
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir):
+    store = work_folder(spark)
+    write_tables(spark, tables(spark, sf_dir), store)
+    return read_tables(spark, store)
+
+
+@pytest.fixture
+def unknown_sizes(spark):
+    """Plans as for tables too big to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(plan):
+    return re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+
+
+@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+def test_no_python_and_no_all_pairs_join(spark, sf_dir, name):
+    plan = plan_of(entry_module.queries()[name](spark, sf_dir))
+    assert not re.search("Python|Pandas|CartesianProduct|NestedLoop|Scan ExistingRDD", plan)
+
+
+def test_pair_report(stored, unknown_sizes):
+    plan = plan_of(reputation_pairs(stored["posts"], stored["users"]))
+    assert "TakeOrderedAndProject(limit=20" in plan
+    # users, answers, questions by key, and the sums per question and per pair
+    assert plan.count("Exchange hashpartitioning") == 5
+    assert plan.count("partial_sum") > 0
+    for aggregate in re.findall(r"(\w+Aggregate)\(", plan):
+        assert aggregate == "HashAggregate"
+    assert "EqualTo(post_type_id,2)" in plan and "EqualTo(post_type_id,1)" in plan
+    assert not any("body" in s or "title" in s for s in scans(plan))
+    # the answers are summed up before they meet their question
+    below = plan[plan.index("SortMergeJoin") :]
+    assert "partial_count(1)" in below
+
+
+def test_low_scored_accepted(stored, unknown_sizes):
+    plan = plan_of(low_scored_accepted(stored["posts"], stored["users"], max_score=-1))
+    assert "TakeOrderedAndProject(limit=20" in plan
+    assert "LessThanOrEqual(score,-1)" in plan
+    assert "IsNotNull(accepted_answer_id)" in plan
+    assert not any("body" in s for s in scans(plan))
+
+
+def test_repair_leaves_the_wide_rows_in_place(stored, unknown_sizes):
+    parents = {c: stored[p].select("id") for c, p in REPAIRED_KEYS.items()}
+    plan = plan_of(null_dangling(stored["posts"], parents))
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_fk_audit_shuffles_once_per_parent(stored, unknown_sizes):
+    plan = plan_of(fk_audit(stored))
+    # the references and the ids, for users and for posts
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("LeftAnti") == 2
+    assert not any("body" in s or "text" in s for s in scans(plan))
+
+
+def test_ingest_parses_each_row_once(spark, tmp_path):
+    path = tmp_path / "Posts.xml"
+    path.write_text('<posts>\n<row Id="1"/>\n</posts>')
+    from tagloom.schemas import ENTITIES
+
+    plan = plan_of(good_rows(ingest(spark, str(path), ENTITIES["posts"])))
+    assert plan.count("from_xml(") == 1
