@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,27 @@ from tagloom.session import settled
 SPLIT_ABOVE = 1_000_000
 
 
+class KeyProfile(NamedTuple):
+    rows: int
+    repeated: int  # keys on more than one row
+    low: Any
+    high: Any
+
+
+def key_profile(rows: DataFrame, key: str = "id") -> KeyProfile:
+    """Counts and range of the keys, in one job on the key column alone."""
+    found = rows.groupBy(key).count().agg(
+        F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 1), F.min(key), F.max(key)
+    )
+    return KeyProfile(*found.first())
+
+
 def collapse_repeats(
     rows: DataFrame,
     key: str = "id",
     update: Sequence[str] = (),
     order: Column | None = None,
+    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """One row per key: its first row, with the ``update`` columns of its last.
 
@@ -26,9 +43,10 @@ def collapse_repeats(
     shuffles nothing but counted keys. The grouping combines before its shuffle,
     so a key that a third of all rows share is no burden.
     """
-    repeated = settled(rows.groupBy(key).count().where("count > 1").select(key))
-    if repeated.isEmpty():
+    profile = profile or key_profile(rows, key)
+    if profile.repeated == 0:
         return rows
+    repeated = settled(rows.groupBy(key).count().where("count > 1").select(key))
     same = rows[key].eqNullSafe(repeated[key])
     single = rows.join(repeated, same, "left_anti")
     several = rows.join(repeated, same, "left_semi")
@@ -61,17 +79,17 @@ def merge_upsert(
     Sites number their rows from one, so a small site reaches few of a big one's,
     and the scan skips to them by the key statistics of the files.
     """
-    size, low, high = new.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
-    if size == 0:
+    profile = key_profile(new, key)
+    if profile.rows == 0:
         return base
-    new = collapse_repeats(new, key, update, order).select(*base.columns)
-    in_range = F.col(key).between(low, high)
+    new = collapse_repeats(new, key, update, order, profile).select(*base.columns)
+    in_range = F.col(key).between(profile.low, profile.high)
     near = base.where(in_range)
     added = new.join(near.select(key), key, "left_anti").select(*base.columns)
     if not update:
         return base.unionByName(added)
     fresh = new.select(F.col(key).alias("_key"), F.struct(*update).alias("_fresh"))
-    met = near if size > split_above else base
+    met = near if profile.rows > split_above else base
     known = F.col("_key").isNotNull()
     updated = met.join(fresh, met[key] == fresh["_key"], "left").select(
         *[

@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", memory: str = "12g", **conf: str) -> S
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        # Looking up the calling line of every column expression slows planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
