@@ -79,7 +79,8 @@ def unfold_tag_pairs(rows: DataFrame, tag: str | None = None) -> DataFrame:
 
     A repeated tag repeats its pairs. With ``tag`` only pairs that start with
     it, once more per occurrence of it: as rows do when they are also joined to
-    the post-tag rows of that tag.
+    the post-tag rows of that tag. Pairs stream out one by one, so a text with
+    very many tags needs no more memory than its tags.
     """
     rest = [c for c in rows.columns if c != "tags"]
     if tag is None:
@@ -93,6 +94,14 @@ def unfold_tag_pairs(rows: DataFrame, tag: str | None = None) -> DataFrame:
     return pairs.where("tag1 < tag2")
 
 
+def with_tag(posts: DataFrame, tag_rows: DataFrame, tag: str) -> DataFrame:
+    """Posts that carry the tag, by a join to a stored post-tag table; a repeated
+    tag repeats its post. Worth it where the tag is rare: the stored table is laid
+    out by tag and the tag texts are not read."""
+    found = tag_rows.where(F.col("tag") == tag).select("post_id")
+    return posts.join(found, posts["id"] == found["post_id"]).drop("post_id")
+
+
 def question_tag_pairs(posts: DataFrame) -> DataFrame:
     """One row per question and unordered pair of its tags."""
     q = questions(posts).where(has_two_tags(F.col("tags")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tagloom.operators.merge import collapse_repeats, merge_upsert
 from tagloom.operators.references import null_dangling
 from tagloom.schemas import ENTITIES, REPAIRED_KEYS
-from tagloom.session import settled, work_folder
+from tagloom.session import one_work_folder, settled, work_folder
 from tagloom.sinks.tables import refresh_post_tags, table_path, write_tables
 from tagloom.sources.site import load_site
 from tagloom.sources.xml_rows import CORRUPT, POSITION, corrupt_rows, good_rows
@@ -96,14 +96,16 @@ def import_sites(
     """Rebuild the store from the unpacked dumps of the sites, in order.
 
     Text of malformed rows goes to ``<store>/quarantine``; with
-    ``mode="failfast"`` the first one stops the import.
+    ``mode="failfast"`` the first one stops the import. Staged rows stay in one
+    folder below the shared work folder, named in the log.
     """
-    sites = [stage_site(spark, d, mode, bad_time) for d in site_dirs]
-    write_tables(spark, merge_sites(sites), store)
-    refresh_post_tags(spark, store)
-    corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
-    for site_dir, staged in zip(site_dirs, sites):
-        for name, df in staged.items():
-            source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
-            corrupt = corrupt.unionByName(corrupt_rows(df).select(*source, CORRUPT))
-    corrupt.write.mode("overwrite").parquet(table_path(store, QUARANTINE))
+    with one_work_folder(spark):
+        sites = [stage_site(spark, d, mode, bad_time) for d in site_dirs]
+        write_tables(spark, merge_sites(sites), store)
+        refresh_post_tags(spark, store)
+        corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
+        for site_dir, staged in zip(site_dirs, sites):
+            for name, df in staged.items():
+                source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
+                corrupt = corrupt.unionByName(corrupt_rows(df).select(*source, CORRUPT))
+        corrupt.write.mode("overwrite").parquet(table_path(store, QUARANTINE))

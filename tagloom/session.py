@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
 
 def local_session(cores: int | str = "*", memory: str = "12g", **conf: str) -> SparkSession:
     """A session on this machine, for tests and the benchmark.
@@ -34,7 +42,11 @@ def local_session(cores: int | str = "*", memory: str = "12g", **conf: str) -> S
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares among its executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = (
+        _run_folder.get()
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+    )
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
@@ -42,6 +54,19 @@ def work_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tagloom-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def one_work_folder(spark: SparkSession) -> Iterator[str]:
+    """All work folders inside the block lie below one, which can be removed when
+    what was built from them has been stored."""
+    folder = work_folder(spark)
+    log.info("staging below %s", folder)
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the work folder and read back.
 

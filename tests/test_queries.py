@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 
 from tagloom.fixtures import full
+from tagloom.operators.posts import post_tags, with_tag
 from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
 from tagloom.schemas import ENTITIES
@@ -127,3 +128,13 @@ def test_low_scored_accepted(spark, site, tables, max_score, limit, tag):
     got = low_scored_accepted(*tables, max_score=max_score, limit=limit, tag=tag).collect()
     assert [tuple(r) for r in got] == [row for row, _ in found[:limit]]
     assert got
+
+
+def test_a_join_to_post_tags_scopes_alike(spark, tables):
+    posts, users = tables
+    scoped = with_tag(posts.where("post_type_id = 1"), post_tags(posts), "a")
+    assert scoped.columns == posts.columns
+    rest = posts.where("post_type_id <> 1")
+    got = low_scored_accepted(scoped.unionByName(rest), users, limit=None).collect()
+    expected = low_scored_accepted(posts, users, limit=None, tag="a").collect()
+    assert got and sorted(got) == sorted(expected)

@@ -4,6 +4,8 @@ import datetime
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tagloom.fixtures import write_xml
@@ -108,6 +110,21 @@ def test_text_survives_the_round_trip(spark, tmp_path):
     assert {r["id"]: r["text"] for r in good_rows(got).collect()} == dict(enumerate(texts))
 
 
+# Every character that XML can hold.
+CHARACTERS = st.characters(blacklist_categories=("Cs", "Cc"), blacklist_characters="\ufffe\uffff")
+TEXTS = st.lists(st.text(CHARACTERS | st.sampled_from("\t\n\r<>&\"'/ ")), min_size=50, max_size=80)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=TEXTS)
+def test_any_text_survives_the_round_trip(spark, tmp_path_factory, texts):
+    site_dir = str(tmp_path_factory.mktemp("any") / "site")
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    write_xml(df, ENTITIES["comments"], site_dir)
+    got = load_site(spark, site_dir)["comments"]
+    assert {r["id"]: r["text"] for r in good_rows(got).collect()} == dict(enumerate(texts))
+
+
 def test_file_lookup(spark, tmp_path, caplog):
     for name in ("z_POSTS.xml", "PostHistory.xml", "my-PostLinks.xml", "b_users.xml", "a_Users.xml", "Tags.txt"):
         (tmp_path / name).write_text('<a><row Id="1"/></a>')
