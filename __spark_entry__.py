@@ -146,7 +146,7 @@ def _two_sites(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame
         for name in names:
             write_xml(view(spark, sf, name + suffix), ENTITIES[name], site_dir)
         sites.append(stage_site(spark, site_dir))
-    return merge_sites(sites)
+    return merge_sites(spark, sites)
 
 
 def _load_two_sites_users(spark: SparkSession, sf: str) -> DataFrame:

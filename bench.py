@@ -67,7 +67,7 @@ def main() -> None:
         "pk_audit": lambda: pk_audit(t),
         "not_null_audit": lambda: not_null_audit(t),
         "ingest_posts": lambda: good_rows(ingest(spark, f"{sites[0]}/Posts.xml", ENTITIES["posts"])),
-        "load_two_sites_posts": lambda: merge_sites([stage_site(spark, s) for s in sites])["posts"],
+        "load_two_sites_posts": lambda: merge_sites(spark, [stage_site(spark, s) for s in sites])["posts"],
     }
     times = {}
     for name, query in queries.items():

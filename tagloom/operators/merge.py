@@ -68,6 +68,7 @@ def merge_upsert(
     update: Sequence[str] = (),
     order: Column | None = None,
     split_above: int = SPLIT_ABOVE,
+    profile: KeyProfile | None = None,
 ) -> DataFrame:
     """``base`` with the rows of ``new``: an unknown key adds its row, a known
     key overwrites the ``update`` columns only (none: the row is ignored).
@@ -77,9 +78,10 @@ def merge_upsert(
     ``new``, so they stay in place whenever those are small enough to broadcast.
     Otherwise only rows of ``base`` within the key range of ``new`` are shuffled.
     Sites number their rows from one, so a small site reaches few of a big one's,
-    and the scan skips to them by the key statistics of the files.
+    and the scan skips to them by the key statistics of the files. ``profile`` is
+    that of ``new`` where it is known.
     """
-    profile = key_profile(new, key)
+    profile = profile or key_profile(new, key)
     if profile.rows == 0:
         return base
     new = collapse_repeats(new, key, update, order, profile).select(*base.columns)

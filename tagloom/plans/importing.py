@@ -7,14 +7,15 @@ updates a few columns of the users and posts it meets again and adds the rest.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators.merge import collapse_repeats, merge_upsert
+from tagloom.operators.merge import collapse_repeats, key_profile, merge_upsert
 from tagloom.operators.references import null_dangling
 from tagloom.schemas import ENTITIES, REPAIRED_KEYS
-from tagloom.session import one_work_folder, settled, work_folder
+from tagloom.session import one_work_folder, settled, side_by_side
 from tagloom.sinks.tables import refresh_post_tags, table_path, write_tables
 from tagloom.sources.site import load_site
 from tagloom.sources.xml_rows import CORRUPT, POSITION, corrupt_rows, good_rows
@@ -30,33 +31,28 @@ def stage_site(
     What follows reads single columns several times; that is cheap on parquet
     and would parse all text again on XML.
     """
-    folder = work_folder(spark)
-    staged = {}
-    for name, df in load_site(spark, site_dir, mode, bad_time).items():
-        path = table_path(folder, name)
-        df.write.parquet(path)
-        staged[name] = spark.read.schema(df.schema).parquet(path)
-    return staged
+    rows = load_site(spark, site_dir, mode, bad_time)
+    staged = side_by_side(spark, [partial(settled, df) for df in rows.values()])
+    return dict(zip(rows, staged))
 
 
 def add_site(
-    tables: Mapping[str, DataFrame], staged: Mapping[str, DataFrame]
+    spark: SparkSession, tables: Mapping[str, DataFrame], staged: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
     """``tables`` with the rows of one more site merged in and the posts repaired."""
     merged = dict(tables)
-    for name, entity in ENTITIES.items():
-        if name not in staged:
-            continue
-        rows = good_rows(staged[name])
-        order = F.col(POSITION)
-        base = tables.get(name)
-        if base is None:
-            first = collapse_repeats(rows, update=entity.update, order=order)
-            merged[name] = first.select(*entity.columns)
+    rows = {name: good_rows(staged[name]) for name in ENTITIES if name in staged}
+    profiles = dict(zip(rows, side_by_side(spark, [partial(key_profile, r) for r in rows.values()])))
+    order = F.col(POSITION)
+    for name, new in rows.items():
+        entity = ENTITIES[name]
+        how = {"update": entity.update, "order": order, "profile": profiles[name]}
+        if name in tables:
+            merged[name] = merge_upsert(tables[name], new, **how)
         else:
-            merged[name] = merge_upsert(base, rows, update=entity.update, order=order)
+            merged[name] = collapse_repeats(new, **how).select(*entity.columns)
         if name == "posts":
-            merged[name] = _repair(merged, met_before=base is not None)
+            merged[name] = _repair(merged, met_before=name in tables)
     return merged
 
 
@@ -76,13 +72,13 @@ def _repair(tables: Mapping[str, DataFrame], met_before: bool) -> DataFrame:
     )
 
 
-def merge_sites(sites: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
+def merge_sites(spark: SparkSession, sites: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
     """The tables of several staged sites, in order."""
     tables: dict[str, DataFrame] = {}
     for i, staged in enumerate(sites):
         if i > 1:
             tables = {name: settled(df) for name, df in tables.items()}
-        tables = add_site(tables, staged)
+        tables = add_site(spark, tables, staged)
     return tables
 
 
@@ -101,7 +97,7 @@ def import_sites(
     """
     with one_work_folder(spark):
         sites = [stage_site(spark, d, mode, bad_time) for d in site_dirs]
-        write_tables(spark, merge_sites(sites), store)
+        write_tables(spark, merge_sites(spark, sites), store)
         refresh_post_tags(spark, store)
         corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
         for site_dir, staged in zip(site_dirs, sites):

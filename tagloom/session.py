@@ -5,14 +5,19 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+Result = TypeVar("Result")
+
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
@@ -77,3 +82,15 @@ def settled(df: DataFrame) -> DataFrame:
     path = work_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(
+    spark: SparkSession, jobs: Iterable[Callable[[], Result]], at_once: int = 8
+) -> list[Result]:
+    """Results of jobs that do not need one another, submitted together: the
+    tasks of small ones fill the gaps that big ones leave."""
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(job)) for job in jobs
+        ]
+        return [job.result() for job in running]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators.posts import post_tags
 from tagloom.schemas import ENTITIES
+from tagloom.session import side_by_side
 
 
 def table_path(store: str, name: str) -> str:
@@ -23,11 +25,13 @@ def write_table(df: DataFrame, store: str, name: str) -> None:
 
 def write_tables(spark: SparkSession, tables: Mapping[str, DataFrame], store: str) -> None:
     """Rebuild all tables; one that is missing becomes an empty table."""
+    writes = []
     for name, entity in ENTITIES.items():
         df = tables.get(name)
         if df is None:
             df = spark.createDataFrame([], entity.schema)
-        write_table(df, store, name)
+        writes.append(partial(write_table, df, store, name))
+    side_by_side(spark, writes)
 
 
 def read_table(spark: SparkSession, store: str, name: str) -> DataFrame:
