@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tagloom.session import settled
 
-# Rows of the new side above which a merge keeps rows outside its key range apart.
+# Rows of the new side that may be worth a broadcast; beyond, a merge keeps rows
+# outside its key range apart.
 SPLIT_ABOVE = 1_000_000
 
 
@@ -75,8 +76,9 @@ def merge_upsert(
 
     ``base`` has unique keys; repeated keys in ``new`` act one after another in
     ``order``. The wide rows of ``base`` meet only the key and update columns of
-    ``new``, so they stay in place whenever those are small enough to broadcast.
-    Otherwise only rows of ``base`` within the key range of ``new`` are shuffled.
+    ``new``. Up to ``split_above`` rows those are written to a table, so that the
+    planner knows their true size and leaves the wide rows in place if it is
+    small. Beyond, only rows of ``base`` within the key range of ``new`` are shuffled.
     Sites number their rows from one, so a small site reaches few of a big one's,
     and the scan skips to them by the key statistics of the files. ``profile`` is
     that of ``new`` where it is known.
@@ -91,7 +93,10 @@ def merge_upsert(
     if not update:
         return base.unionByName(added)
     fresh = new.select(F.col(key).alias("_key"), F.struct(*update).alias("_fresh"))
-    met = near if profile.rows > split_above else base
+    if profile.rows <= split_above:
+        met, fresh = base, settled(fresh)
+    else:
+        met = near
     known = F.col("_key").isNotNull()
     updated = met.join(fresh, met[key] == fresh["_key"], "left").select(
         *[

@@ -7,10 +7,11 @@ import pytest
 import __spark_entry__ as entry_module
 from tagloom.fixtures import tables
 from tagloom.operators.audit import fk_audit
+from tagloom.operators.merge import merge_upsert
 from tagloom.operators.references import null_dangling
 from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
-from tagloom.schemas import REPAIRED_KEYS
+from tagloom.schemas import ENTITIES, REPAIRED_KEYS
 from tagloom.session import work_folder
 from tagloom.sinks.tables import read_tables, write_tables
 from tagloom.sources.site import ingest
@@ -76,6 +77,14 @@ def test_repair_leaves_the_wide_rows_in_place(stored, unknown_sizes):
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_a_small_site_does_not_move_the_big_one(spark, stored):
+    posts = stored["posts"]
+    new = posts.where("score > 100").withColumn("score", posts["score"] + 1)
+    plan = plan_of(merge_upsert(posts, new, update=("score", "view_count", "answer_count")))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_fk_audit_shuffles_once_per_parent(stored, unknown_sizes):
     plan = plan_of(fk_audit(stored))
     # the references and the ids, for users and for posts
@@ -87,7 +96,5 @@ def test_fk_audit_shuffles_once_per_parent(stored, unknown_sizes):
 def test_ingest_parses_each_row_once(spark, tmp_path):
     path = tmp_path / "Posts.xml"
     path.write_text('<posts>\n<row Id="1"/>\n</posts>')
-    from tagloom.schemas import ENTITIES
-
     plan = plan_of(good_rows(ingest(spark, str(path), ENTITIES["posts"])))
     assert plan.count("from_xml(") == 1
