@@ -202,7 +202,10 @@ _ESCAPES = (
 def _attribute(field: Field) -> Column:
     value = F.col(field.column)
     if field.rule.startswith("time"):
-        value = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+        # Out of the text form, as date_format would go through the session's zone.
+        text = value.cast("string")
+        millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+        value = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis)
     elif field.rule == "text":
         for character, escaped in _ESCAPES:
             value = F.replace(value, F.lit(character), F.lit(escaped))

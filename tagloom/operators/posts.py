@@ -83,14 +83,15 @@ def unfold_tag_pairs(rows: DataFrame, tag: str | None = None) -> DataFrame:
     very many tags needs no more memory than its tags.
     """
     rest = [c for c in rows.columns if c != "tags"]
+    # Outer, as the plain form first filters by the array's size, below the select
+    # that made it, and so splits the text twice. The last filter drops NULLs.
     if tag is None:
-        rows = rows.select("*", F.explode("tags").alias("tag1"))
+        rows = rows.select("*", F.explode_outer("tags").alias("tag1"))
     else:
-        anchor = F.filter("tags", lambda t: t == tag)
-        rows = rows.select("*", anchor.alias("_anchor"))
-        rows = rows.select(*rest, "tags", "_anchor", F.explode("_anchor").alias("tag1"))
-        rows = rows.select(*rest, "tags", "tag1", F.explode("_anchor"))
-    pairs = rows.select(*rest, "tag1", F.explode("tags").alias("tag2"))
+        rows = rows.select("*", F.filter("tags", lambda t: t == tag).alias("_anchor"))
+        rows = rows.select(*rest, "tags", "_anchor", F.explode_outer("_anchor").alias("tag1"))
+        rows = rows.select(*rest, "tags", "tag1", F.explode_outer("_anchor"))
+    pairs = rows.select(*rest, "tag1", F.explode_outer("tags").alias("tag2"))
     return pairs.where("tag1 < tag2")
 
 
