@@ -17,15 +17,23 @@ SPLIT_ABOVE = 1_000_000
 
 class KeyProfile(NamedTuple):
     rows: int
-    repeated: int  # keys on more than one row
     low: Any
     high: Any
+    repeated: int  # keys on more than one row
+    repeated_low: Any
+    repeated_high: Any
 
 
 def key_profile(rows: DataFrame, key: str = "id") -> KeyProfile:
-    """Counts and range of the keys, in one job on the key column alone."""
+    """Counts and ranges of the keys, in one job on the key column alone."""
+    twice = F.col("count") > 1
     found = rows.groupBy(key).count().agg(
-        F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 1), F.min(key), F.max(key)
+        F.coalesce(F.sum("count"), F.lit(0)),
+        F.min(key),
+        F.max(key),
+        F.count_if(twice),
+        F.min(F.when(twice, F.col(key))),
+        F.max(F.when(twice, F.col(key))),
     )
     return KeyProfile(*found.first())
 
@@ -47,10 +55,13 @@ def collapse_repeats(
     profile = profile or key_profile(rows, key)
     if profile.repeated == 0:
         return rows
-    repeated = settled(rows.groupBy(key).count().where("count > 1").select(key))
-    same = rows[key].eqNullSafe(repeated[key])
-    single = rows.join(repeated, same, "left_anti")
-    several = rows.join(repeated, same, "left_semi")
+    # The range lets the scan skip most of what holds no repeated key.
+    suspects = rows.where(
+        F.col(key).between(profile.repeated_low, profile.repeated_high) | F.col(key).isNull()
+    )
+    repeated = settled(suspects.groupBy(key).count().where("count > 1").select(key))
+    single = rows.join(repeated, rows[key].eqNullSafe(repeated[key]), "left_anti")
+    several = suspects.join(repeated, suspects[key].eqNullSafe(repeated[key]), "left_semi")
     position = F.struct(*rows.columns) if order is None else order
     picks = [F.min_by(F.struct(*rows.columns), position).alias("first")]
     if update:

@@ -74,6 +74,12 @@ def test_repeats_without_an_order_collapse_repeatably(spark, rows):
     assert len(results) == 1
 
 
+def test_keys_without_a_value_collapse_too(spark, rows):
+    data = [(None, "x", 1, 0), (None, "y", 2, 1), (1, "z", 1, 0), (None, "w", 3, 2)]
+    got = collapse_repeats(spark.createDataFrame(data, SCHEMA), update=("b",), order=F.col("at"))
+    assert rows(got) == [(1, "z", 1, 0), (None, "x", 3, 0)]
+
+
 def test_unique_rows_are_not_grouped(spark):
     df = spark.range(100).withColumn("wide", F.lit("w"))
     assert collapse_repeats(df) is df
