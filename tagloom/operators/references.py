@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tagloom.session import settled
+from tagloom.session import settled, side_by_side
 
 # Most values a set of references may hold to be broadcast (8 bytes each).
 BROADCAST_VALUES = 1_000_000
@@ -66,10 +66,16 @@ def null_dangling(
     """
     columns, marks, broken = rows.columns, {}, []
     source = rows if slim is None else slim
-    for parent_ids in {id(p): p for p in parents.values()}.values():
-        names = [c for c, p in parents.items() if p is parent_ids]
+
+    def find(names: list[str], parent_ids: DataFrame) -> tuple[list[str], DataFrame, Row]:
         gone = settled(dangling_values(source, names, parent_ids))
-        sizes = gone.agg(*[F.count_if(f"in{i}") for i in range(len(names))]).first()
+        return names, gone, gone.agg(*[F.count_if(f"in{i}") for i in range(len(names))]).first()
+
+    searches = [
+        partial(find, [c for c, p in parents.items() if p is parent_ids], parent_ids)
+        for parent_ids in {id(p): p for p in parents.values()}.values()
+    ]
+    for names, gone, sizes in side_by_side(rows.sparkSession, searches):
         for i, column in enumerate(names):
             if sizes[i] == 0:
                 continue
