@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,0)"
-SUMS = ("n", "x", "y", "xx", "yy", "xy")
+# rows and all_y are over all rows, the others over the rows where x is known.
+SUMS = ("rows", "all_y", "n", "x", "y", "xx", "yy", "xy")
+INTEGERS = ("rows", "all_y", "n", "y")
 
 
 def corr_or_null(x: Column, y: Column) -> Column:
@@ -22,17 +24,14 @@ def corr_or_null(x: Column, y: Column) -> Column:
 
     The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
     """
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)  # pairs only
     spread = F.stddev_samp(x) * F.stddev_samp(y)
     return F.try_divide(F.covar_samp(x, y), spread)
 
 
-def _exact(column: Column) -> Column:
-    return column.cast(EXACT)
-
-
 @dataclass(frozen=True)
 class Moments:
-    """Names of the six sums of a group: n, x, y, xx, yy, xy."""
+    """Names of the sums of a group."""
 
     prefix: str = "m_"
 
@@ -40,15 +39,18 @@ class Moments:
         return F.col(self.prefix + name)
 
     def of_rows(self, x: Column, y: Column) -> list[Column]:
-        """Aggregates over rows; x (bigint) and y (int) must not be NULL."""
+        """Aggregates over rows; x (bigint) may be NULL, y (int) not."""
         x16, y10 = x.cast("decimal(16,0)"), y.cast("decimal(10,0)")
         y64 = y.cast("bigint")
+        paired = F.when(x.isNotNull(), y64)
         return self._named(
-            n=F.count(F.lit(1)),
+            rows=F.count(F.lit(1)),
+            all_y=F.sum(y64),
+            n=F.count(x),
             x=F.sum(x16),
-            y=F.sum(y64),
+            y=F.sum(paired),
             xx=F.sum(x16 * x16),
-            yy=F.sum((y64 * y64).cast("decimal(19,0)")),
+            yy=F.sum((paired * paired).cast("decimal(19,0)")),
             xy=F.sum(x16 * y10),
         )
 
@@ -61,51 +63,57 @@ class Moments:
         return [self[name] for name in SUMS]
 
     def shifted(self, origin: Column) -> list[Column]:
-        """The sums as if ``origin`` had been taken from every x."""
+        """The sums as if ``origin`` had been taken from every x: none is known
+        where ``origin`` is NULL."""
         d = origin.cast("decimal(16,0)")
         n = self["n"].cast("decimal(16,0)")
+        known = origin.isNotNull()
         return self._named(
-            n=self["n"],
+            rows=self["rows"],
+            all_y=self["all_y"],
+            n=F.when(known, self["n"]).otherwise(0),
             x=self["x"] - n * d,
-            y=self["y"],
+            y=F.when(known, self["y"]),
             xx=self["xx"] - F.lit(2) * d * self["x"] + n * d * d,
-            yy=self["yy"],
+            yy=F.when(known, self["yy"]),
             xy=self["xy"] - d * self["y"],
         )
 
     def _named(self, **columns: Column) -> list[Column]:
         return [
-            (c if name in ("n", "y") else _exact(c)).alias(self.prefix + name)
+            (c if name in INTEGERS else c.cast(EXACT)).alias(self.prefix + name)
             for name, c in columns.items()
         ]
 
     def statistics(self, sums: DataFrame, *keys: str) -> DataFrame:
-        """Per row of sums: n, mean_x, mean_y, stddev_x (sample; NULL for a single
-        row) and corr (NULL where a side has no variance).
+        """Per row of sums: row_count, mean_x, mean_y, stddev_x (sample; NULL for a
+        single row) and corr (NULL where a side has no variance).
 
         The sums are taken about p and q, whole numbers next to the means, and
         are still exact; only the last step, whose correction is below n, is in
         doubles.
         """
-        exact = [f"cast({self.prefix}{c} as {EXACT}) as {c}" for c in SUMS[1:]]
-        near = sums.selectExpr(*keys, f"{self.prefix}n as n", *exact).selectExpr(
-            "*", f"cast(x div n as {EXACT}) as p", f"cast(y div n as {EXACT}) as q"
-        )
+        m = self.prefix
+        exact = [f"cast({m}{c} as {EXACT}) as {c}" for c in ("x", "y", "xx", "yy", "xy")]
+        near = sums.selectExpr(
+            *keys, f"{m}rows as row_count", f"{m}all_y as all_y", f"nullif({m}n, 0) as n", *exact
+        ).selectExpr("*", f"cast(x div n as {EXACT}) as p", f"cast(y div n as {EXACT}) as q")
         about = near.selectExpr(
             *keys,
+            "row_count",
             "n",
             "double(x) / n as mean_x",
-            "double(y) / n as mean_y",
+            "double(all_y) / row_count as mean_y",
             "double(xx - 2 * p * x + n * p * p) - double(x - n * p) * double(x - n * p) / n as xx",
             "double(yy - 2 * q * y + n * q * q) - double(y - n * q) * double(y - n * q) / n as yy",
             "double(xy - p * y - q * x + n * p * q) - double(x - n * p) * double(y - n * q) / n as xy",
         )
         return about.selectExpr(
             *keys,
-            "n",
+            "row_count",
             "mean_x",
             "mean_y",
-            "sqrt(greatest(xx, 0d) / nullif(n - 1, 0)) as stddev_x",
+            "sqrt(if(xx > 0, xx, xx * 0) / nullif(n - 1, 0)) as stddev_x",
             """case when xx > 0 and yy > 0
                  then greatest(-1d, least(1d, xy / (sqrt(xx) * sqrt(yy)))) end as corr""",
         )

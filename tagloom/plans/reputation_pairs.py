@@ -50,11 +50,11 @@ def reputation_pairs(
     # Tags and shift once per question, before the pairs unfold.
     answered = answered.select(extract_tags(F.col("tags")).alias("tags"), *M.shifted(F.col("asked")))
     per_pair = unfold_tag_pairs(answered, tag).groupBy("tag1", "tag2").agg(*M.of_sums())
-    found = M.statistics(per_pair.where(M["n"] >= min_count), "tag1", "tag2")
+    found = M.statistics(per_pair.where(M["rows"] >= min_count), "tag1", "tag2")
     result = found.select(
         "tag1",
         "tag2",
-        F.col("n").alias("pair_count"),
+        F.col("row_count").alias("pair_count"),
         (F.col("mean_x") / MILLIS_PER_MINUTE).alias("avg_response_time_minutes"),
         F.col("mean_y").alias("avg_answerer_reputation"),
         (F.col("stddev_x") / MILLIS_PER_MINUTE).alias("stddev_response_time"),

@@ -6,9 +6,10 @@ import statistics
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tagloom.fixtures import full
-from tagloom.operators.posts import post_tags, with_tag
+from tagloom.operators.posts import post_tags, response_times, with_author, with_tag
 from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
 from tagloom.schemas import ENTITIES
@@ -100,6 +101,23 @@ def test_reputation_pairs(spark, site, tables, min_count, limit, tag):
     same(got, expected[:limit])
 
 
+def test_answers_without_a_date_count_but_do_not_weigh(spark, tables):
+    posts, users = tables
+    dated = reputation_pairs(posts, users, min_count=1, limit=None)
+    late = posts.withColumn("creation_date", F.when(F.col("id") % 4 > 0, F.col("creation_date")))
+    undated = reputation_pairs(late, users, min_count=1, limit=None)
+    same_columns = ["tag1", "tag2", "pair_count", "avg_answerer_reputation"]
+    assert sorted(dated.select(same_columns).collect()) == sorted(undated.select(same_columns).collect())
+    times = response_times(late).where("response_time_minutes is not null")
+    tagged = post_tags(posts).withColumnRenamed("post_id", "question_id")
+    both = tagged.where("tag = 'a'").join(tagged.where("tag = 'b'"), "question_id")
+    values = with_author(times, users).join(both, "question_id").select("response_time_minutes")
+    minutes = [r[0] for r in values.collect()]
+    row = undated.where("tag1 = 'a' and tag2 = 'b'").first()
+    assert row["avg_response_time_minutes"] == pytest.approx(statistics.fmean(minutes))
+    assert row["stddev_response_time"] == pytest.approx(statistics.stdev(minutes))
+
+
 def test_reputation_pairs_without_limit(spark, site, tables):
     got = sorted(reputation_pairs(*tables, min_count=1, limit=None).collect())
     same(got, sorted(expected_pairs(site, 1)))

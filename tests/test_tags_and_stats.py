@@ -126,6 +126,28 @@ def test_moments_added_up_in_parts(spark, name):
     assert row[4] == (corr if corr is None else pytest.approx(corr, rel=1e-12))
 
 
+def test_rows_without_x_count_but_do_not_weigh(spark):
+    m = Moments()
+    data = [(1, 10, 3), (1, None, 100), (1, 14, 5), (2, None, 8), (3, 7, 50), (1, 18, 1)]
+    origins = {1: 4, 2: 4, 3: None}  # nothing is known in group 3
+    per_group = spark.createDataFrame(data, "g int, x long, y int").groupBy("g")
+    sums = per_group.agg(*m.of_rows(F.col("x"), F.col("y")))
+    shift = spark.createDataFrame(list(origins.items()), "g int, o long")
+    parts = sums.join(shift, "g").select("g", *m.shifted(F.col("o")))
+    row = m.statistics(parts.agg(*m.of_sums())).first()
+    x, y = [6, 10, 14], [3, 5, 1]
+    assert row[0] == 6
+    assert row[1] == 10
+    assert row[2] == pytest.approx(sum(r[2] for r in data) / 6)
+    assert row[3] == pytest.approx(statistics.stdev(x))
+    assert row[4] == pytest.approx(statistics.correlation(x, y))
+    alone = m.statistics(parts.where("g > 1").groupBy("g").agg(*m.of_sums()), "g")
+    assert {tuple(r)[1:] for r in alone.collect()} == {(1, None, 8.0, None, None), (1, None, 50.0, None, None)}
+    masked = spark.createDataFrame([(6, 3), (10, 5), (14, 1), (None, 900), (77, None)], "x int, y int")
+    got = masked.agg(corr_or_null(F.col("x"), F.col("y"))).first()[0]
+    assert got == pytest.approx(statistics.correlation(x, y))
+
+
 @pytest.mark.parametrize("name", [n for n in GROUPS if n not in ("narrow", "negative")])
 def test_corr_or_null(spark, name):
     df = spark.createDataFrame([(float(x), y) for x, y in GROUPS[name]], "x double, y int")
