@@ -36,6 +36,15 @@ from tagloom.sinks.tables import (
 from tagloom.sources.site import ingest
 from tagloom.sources.xml_rows import good_rows, read_xml_rows
 
+try:
+    import corpus_pipeline
+    from tagloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    # Both are left out together; anything else that is missing is an error.
+    if missing.name not in ("corpus_pipeline", "tagloom.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 PAIR_TAG = "f"  # for the query that is anchored at one tag
@@ -277,6 +286,8 @@ def queries() -> dict[str, Query]:
         for name, entity in ENTITIES.items()
         if not entity.update
     }
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
@@ -541,4 +552,8 @@ def oracle_sql() -> dict[str, str]:
         for name, entity in ENTITIES.items()
         if not entity.update
     }
+    if llm is not None:
+        found |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
