@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.language_id import identify, learn_profiles
 from tagloom.llm.mixing import mixed
+from tagloom.llm.nearest import nearest
 from tagloom.llm.scratch import Scratch, crc_of_id, let_workers_import, read
 from tagloom.llm.sharding import write_shards
 
@@ -45,6 +46,11 @@ def _mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed(read(spark, sf, "documents"))
 
 
+def _nearest(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = read(spark, sf, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         let_workers_import(spark)
@@ -58,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op1_language_id": _language_id,
         "op5_sharding": _sharding,
         "op7_mixing": _mixing,
+        "op9_nearest": _nearest,
     }
     return {name: _ready(query) for name, query in found.items()}
 
