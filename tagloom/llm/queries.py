@@ -12,6 +12,8 @@ from tagloom.llm.mixing import mixed
 from tagloom.llm.nearest import nearest
 from tagloom.llm.scratch import Scratch, crc_of_id, let_workers_import, read
 from tagloom.llm.sharding import write_shards
+from tagloom.llm.toxicity import scored, train
+from tagloom.llm.url_filter import Rule, judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,19 @@ def _language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+def _url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return judged_urls(read(spark, sf, "pages"), URL_RULES)
+
+
 def shard_digest(shards: DataFrame) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return shards.select(
@@ -42,6 +57,13 @@ def _sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard_digest(write_shards(read(spark, sf, "documents"), path))
 
 
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, held_out = read(spark, sf, "documents"), crc_of_id() % 4 == 2
+    network, thresholds = train(docs, read(spark, sf, "labels").where(~held_out))
+    found = scored(docs, network, thresholds, keep={"held_out": held_out})
+    return found.select("doc_id", "held_out", "score", "predicted", "threshold", "flagged")
+
+
 def _mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed(read(spark, sf, "documents"))
 
@@ -62,7 +84,9 @@ def _ready(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {
         "op1_language_id": _language_id,
+        "op2_url_filter": _url_filter,
         "op5_sharding": _sharding,
+        "op6_toxicity": _toxicity,
         "op7_mixing": _mixing,
         "op9_nearest": _nearest,
     }
