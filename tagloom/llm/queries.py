@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.language_id import identify, learn_profiles
 from tagloom.llm.mixing import mixed
 from tagloom.llm.nearest import nearest
+from tagloom.llm.quality import quality
 from tagloom.llm.scratch import Scratch, crc_of_id, let_workers_import, read
 from tagloom.llm.sharding import write_shards
 from tagloom.llm.toxicity import scored, train
@@ -73,6 +74,14 @@ def _nearest(spark: SparkSession, sf: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def trusted_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "labels").where("quality = 1").select("doc_id")
+
+
+def _quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality(read(spark, sf, "documents"), trusted_ids(spark, sf))
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         let_workers_import(spark)
@@ -89,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": _toxicity,
         "op7_mixing": _mixing,
         "op9_nearest": _nearest,
+        "op10_quality": _quality,
     }
     return {name: _ready(query) for name, query in found.items()}
 
