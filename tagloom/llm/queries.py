@@ -13,6 +13,7 @@ from tagloom.llm.nearest import nearest
 from tagloom.llm.quality import quality
 from tagloom.llm.scratch import Scratch, crc_of_id, let_workers_import, read
 from tagloom.llm.sharding import write_shards
+from tagloom.llm.substring_dedup import removed_passages
 from tagloom.llm.toxicity import scored, train
 from tagloom.llm.url_filter import Rule, judged_urls
 
@@ -40,6 +41,15 @@ def _url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged_urls(read(spark, sf, "pages"), URL_RULES)
 
 
+def passage_digest(found: DataFrame) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
+def _substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return passage_digest(removed_passages(read(spark, sf, "documents")))
+
+
 def shard_digest(shards: DataFrame) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return shards.select(
@@ -94,6 +104,7 @@ def queries() -> dict[str, Query]:
     found = {
         "op1_language_id": _language_id,
         "op2_url_filter": _url_filter,
+        "op4_substring_dedup": _substring_dedup,
         "op5_sharding": _sharding,
         "op6_toxicity": _toxicity,
         "op7_mixing": _mixing,
@@ -103,5 +114,27 @@ def queries() -> dict[str, Query]:
     return {name: _ready(query) for name, query in found.items()}
 
 
+_WORDS_SQL = r"list_filter(string_split_regex(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+_SUBSTRING_SQL = f"""
+with texts as (
+  select row_number() over () as n, doc_id, {_WORDS_SQL.format("text")} as words from documents),
+placed as (
+  select n, words, unnest(range(1, len(words) - 33)) as first from texts where len(words) >= 35),
+windows as (select n, first, array_to_string(words[first:first + 34], ' ') as passage from placed),
+again as (select n, first from windows qualify count(*) over (partition by passage) > 1),
+covered as (select distinct n, unnest(range(first, first + 35)) as place from again),
+each_word as (
+  select n, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from texts),
+kept as (
+  select n, string_agg(word, ' ' order by place) as joined
+  from each_word e where not exists (select 1 from covered c where c.n = e.n and c.place = e.place)
+  group by n),
+gone as (select n, count(*) as removed from covered group by n)
+select t.doc_id, len(t.words) as n_words, coalesce(g.removed, 0) as n_removed,
+  sha256(coalesce(k.joined, '')) as kept_sha256
+from texts t left join kept k on k.n = t.n left join gone g on g.n = t.n"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_substring_dedup": _SUBSTRING_SQL}
