@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.language_id import identify, learn_profiles
 from tagloom.llm.mixing import mixed
 from tagloom.llm.nearest import nearest
+from tagloom.llm.ngram_join import similar_documents
 from tagloom.llm.quality import quality
 from tagloom.llm.scratch import Scratch, crc_of_id, let_workers_import, read
 from tagloom.llm.sharding import write_shards
@@ -41,6 +42,10 @@ def _url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged_urls(read(spark, sf, "pages"), URL_RULES)
 
 
+def _ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_documents(read(spark, sf, "documents"))
+
+
 def passage_digest(found: DataFrame) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
@@ -104,6 +109,7 @@ def queries() -> dict[str, Query]:
     found = {
         "op1_language_id": _language_id,
         "op2_url_filter": _url_filter,
+        "op3_ngram_join": _ngram_join,
         "op4_substring_dedup": _substring_dedup,
         "op5_sharding": _sharding,
         "op6_toxicity": _toxicity,
@@ -136,5 +142,30 @@ select t.doc_id, len(t.words) as n_words, coalesce(g.removed, 0) as n_removed,
 from texts t left join kept k on k.n = t.n left join gone g on g.n = t.n"""
 
 
+_NGRAM_SQL = f"""
+with recursive texts as (
+  select doc_id, {_WORDS_SQL.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as words
+  from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 5
+    then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle
+  from texts),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * shared >= 80 * (x.n + y.n - shared)),
+reached as (
+  select doc_id, doc_id as other from texts
+  union
+  select r.doc_id, l.b from reached r join links l on l.a = r.other)
+select t.doc_id, coalesce(s.n, 0) as n_shingles, min(r.other) as component_id
+from texts t join reached r on r.doc_id = t.doc_id left join sizes s on s.doc_id = t.doc_id
+group by t.doc_id, s.n"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": _SUBSTRING_SQL}
+    return {"op3_ngram_join": _NGRAM_SQL, "op4_substring_dedup": _SUBSTRING_SQL}
