@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm.decontamination import contaminated
 from tagloom.llm.language_id import identify, learn_profiles
 from tagloom.llm.mixing import mixed
 from tagloom.llm.nearest import nearest
@@ -84,6 +85,10 @@ def _mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed(read(spark, sf, "documents"))
 
 
+def _decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 def _nearest(spark: SparkSession, sf: str) -> DataFrame:
     vectors = read(spark, sf, "embeddings")
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
@@ -114,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op5_sharding": _sharding,
         "op6_toxicity": _toxicity,
         "op7_mixing": _mixing,
+        "op8_decontamination": _decontamination,
         "op9_nearest": _nearest,
         "op10_quality": _quality,
     }
