@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tagloom.schemas import Field
 
-# The accepted number and timestamp forms and the stand-in date.
-WHOLE_NUMBER = r"^[+-]?[0-9]+$"
-TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}:\d{2}[.,]\d{3}$"
+# The accepted number and timestamp forms and the stand-in date. \z and not $,
+# which would let a final line break pass.
+WHOLE_NUMBER = r"^[+-]?[0-9]+\z"
+TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}:\d{2}[.,]\d{3}\z"
 NO_DATE = "0001-01-01 00:00:00"
 
 

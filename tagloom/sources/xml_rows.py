@@ -1,21 +1,55 @@
 """Row elements of an XML file as a DataFrame.
 
-Built-in XML reading keeps a multi-line file in one task. Here the text source
-splits the file at every row element instead, so one big file is read by many
-tasks and a row may lie on part of a line, one line or several.
+Built-in XML reading keeps a multi-line file in one task, and limits the length of
+an attribute. Here the text source splits the file at every tag, so one big file is
+read by many tasks and a row may lie on part of a line, one line or several. A tag's
+attributes are taken apart by string functions, whatever their length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 POSITION = "_position"  # where the row was in the file; orders rows as the file does
 CORRUPT = "_corrupt_record"  # the text of a malformed row, else NULL
 
-MODES = {"quarantine": "PERMISSIVE", "failfast": "FAILFAST"}
+MODES = ("quarantine", "failfast")
+
+# The parts of a tag, and the five entities that XML names.
+_PREFIX = r"(?:[^\s/>=:\"']+:)?"
+_ATTRIBUTE = r"\s+[^\s=/>\"']+\s*=\s*(?:\"[^\"]*\"|'[^']*')"
+_ROW = rf"^{_PREFIX}row(?=[\s/>]|\z)"
+_WHOLE = rf"^{_PREFIX}row((?:{_ATTRIBUTE})*)\s*/?>"
+_EACH = r"\s+([^\s=/>\"']+)\s*=\s*(\"[^\"]*\"|'[^']*')"
+_BAD_REFERENCE = r"&(?!(?:lt|gt|amp|quot|apos|#[0-9]{1,7}|#x[0-9A-Fa-f]{1,6});)"
+_NAMED = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a code point in hexadecimal."""
+    return F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
+
+
+def _plain(value: Column) -> Column:
+    """A quoted value's text: white space reads as a space, references as what they name."""
+    inside = F.regexp_replace(F.substring(value, F.lit(2), F.length(value) - 2), r"\r\n|[\t\n\r]", " ")
+
+    def resolved(piece: Column, i: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+        number = F.when(name.startswith("#x"), F.substring(name, F.lit(3), F.length(name))).otherwise(
+            F.hex(F.substring(name, F.lit(2), F.length(name)).try_cast("bigint"))
+        )
+        character = _code_point(number)
+        for known, text in _NAMED.items():
+            character = F.when(name == known, F.lit(text)).otherwise(character)
+        return F.when(i == 0, piece).otherwise(F.concat(character, rest))
+
+    joined = F.array_join(F.transform(F.split(inside, "&"), resolved), "")
+    return F.when(inside.contains("&"), joined).otherwise(inside)
 
 
 def read_xml_rows(
@@ -23,37 +57,47 @@ def read_xml_rows(
 ) -> DataFrame:
     """One string column per attribute (NULL if absent), plus position and corrupt text.
 
-    ``path`` is a file or a folder of part files. Other elements are ignored.
-    A malformed row keeps its text in the corrupt column, or with
-    ``mode="failfast"`` stops the job.
+    ``path`` is a file or a folder of part files. Every start tag whose local name is
+    ``row`` is a row, at any depth; attributes go by their local names, and of a repeated
+    one the last counts. Other elements are ignored, as is a row whose comment or CDATA
+    section ends right after it. A malformed row keeps its text in the corrupt column, or
+    with ``mode="failfast"`` stops the job.
     """
-    records = spark.read.text(path, lineSep="<row").select("value", "_metadata")
-    # What precedes the first row (space, prolog, root tag) and longer names such
-    # as <rows> are no rows.
-    value, block = F.col("value"), F.col("_metadata.file_block_start")
-    head = (block == 0) & value.rlike(r"^\s*(<|$)")
-    rows = records.where(value.rlike(r"^[\s/>]") & ~head)
-    schema = ", ".join(f"`_{a}` STRING" for a in attributes) + f", {CORRUPT} STRING"
-    options = {
-        "rowTag": "row",
-        "mode": MODES[mode],
-        "columnNameOfCorruptRecord": CORRUPT,
-        "ignoreSurroundingSpaces": "false",
-    }
-    # Text after the end of the row element is passed over. The row number grows
-    # along a block, whatever else the task reads; standing next to from_xml it
-    # also keeps later filters from being pushed below and parsing every row twice.
-    parsed = rows.select(
-        F.from_xml(F.concat(F.lit("<row"), value), schema, options).alias("r"),
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    records = spark.read.text(path, lineSep="<").select("value", "_metadata")
+    value = F.col("value")
+    rows = records.where(value.rlike(_ROW))
+    # The row number grows along a block, whatever else the task reads; standing in the
+    # projection that takes the rows apart it also keeps filters from doing so twice.
+    split = rows.select(
+        value,
+        F.regexp_extract(value, _WHOLE, 0).alias("tag"),
         F.struct(
             F.col("_metadata.file_path").alias("file"),
-            block.alias("block"),
+            F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias(POSITION),
     )
-    return parsed.select(
-        *[F.col(f"r._{a}").alias(a) for a in attributes], f"r.{CORRUPT}", POSITION
-    )
+    after = F.substring(value, F.length("tag") + 1, F.length(value))
+    tag = F.regexp_extract("tag", _WHOLE, 1)
+    bad = (F.col("tag") == "") | tag.rlike(_BAD_REFERENCE)
+    names = F.transform(F.regexp_extract_all(tag, F.lit(_EACH), F.lit(1)), lambda n: F.substring_index(n, ":", -1))
+    parts = split.select(
+        F.when(bad, F.concat(F.lit("<"), value)).alias(CORRUPT),
+        F.when(~bad, F.arrays_zip(names.alias("name"), F.regexp_extract_all(tag, F.lit(_EACH), F.lit(2)).alias("value"))).alias("pairs"),
+        (after.contains("-->") | after.contains("]]>")).alias("outside"),
+        POSITION,
+    ).where("not outside")
+    if mode == "failfast":
+        stop = F.raise_error(F.concat(F.lit("malformed row: "), F.substring(CORRUPT, 1, 200)))
+        parts = parts.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), stop))
+
+    def last(attribute: str) -> Column:
+        mine = F.filter("pairs", lambda p: p["name"] == attribute)
+        return _plain(F.try_element_at(mine, F.lit(-1))["value"]).alias(attribute)
+
+    return parts.select(*[last(a) for a in attributes], CORRUPT, POSITION)
 
 
 def good_rows(rows: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def value_of(spark):
     "text, expected",
     [
         ("5", 5), ("+5", 5), ("-7", -7), ("007", 7),
-        (None, 0), ("", 0), (" 5 ", 0), ("5.0", 0), ("1e3", 0), ("x", 0), ("--1", 0),
+        (None, 0), ("", 0), (" 5 ", 0), ("5\n", 0), ("5.0", 0), ("1e3", 0), ("x", 0), ("--1", 0),
         ("2147483647", 2147483647), ("2147483648", 0), ("99999999999999999999", 0),
     ],
 )
@@ -49,6 +49,7 @@ def test_optional_number(value_of, text, expected):
         ("2011-01-03 20:52:52.880", None),
         ("2011-01-03T20:52:52.880Z", None),
         ("2011-02-30T00:00:00.000", None),
+        ("2011-01-03T20:52:52.880\n", None),
         ("2011-01-05", None),
         ("bad", None),
         ("", None),

@@ -148,3 +148,43 @@ def test_only_the_needed_attributes_are_parsed(spark, xml):
     df = good_rows(ingest(spark, xml(EDGE_POSTS), ENTITIES["posts"])).select("id")
     assert sorted(r[0] for r in df.collect()) == [1, 2, 3, 4, 5]
     assert df.where(F.col("id") == 4).count() == 1
+
+
+@pytest.mark.parametrize("size", [1_000_000, 5_000_000])
+def test_attributes_of_any_length(spark, xml, size):
+    df = read_xml_rows(spark, xml(f'<a>\n<row Id="1" T="{"x&amp;" * (size // 6)}"/>\n<row Id="2" T="y"/></a>'), ["Id", "T"])
+    rows = good_rows(df).orderBy(POSITION).select("Id", F.length("T"), F.substring("T", 1, 4)).collect()
+    assert [tuple(r) for r in rows] == [("1", 2 * (size // 6), "x&x&"), ("2", 1, "y")]
+    assert corrupt_rows(df).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('<a><!-- <row Id="6"/> --><row Id="1"/></a>', [("1", None)]),
+        ('<a><![CDATA[<row Id="6"/>]]><row Id="1"/></a>', [("1", None)]),
+        ('<x:a><x:row Id="1" y:T="b"/></x:a>', [("1", "b")]),
+        ('<a><row Id="1" T="p"><row Id="2"/><b/></row></a>', [("1", "p"), ("2", None)]),
+        ('<a><row Id="1" T="p" T="q"/></a>', [("1", "q")]),
+        ('<a><row Id="1" T="&#38;lt; &#x1F600;&#233; &amp;amp;&#xA;&apos;&quot;"/></a>', [("1", "&lt; 😀é &amp;\n'\"")]),
+        ("<a><row Id='1' T='a>b\r\nc\td \"'/></a>", [("1", 'a>b c d "')]),
+        ('<a><rows Id="9"/><row-x Id="9"/><arow Id="9"/><row Id="1"/></a>', [("1", None)]),
+    ],
+)
+def test_rows_that_other_readers_find(spark, xml, text, expected):
+    df = read_xml_rows(spark, xml(text), ["Id", "T"])
+    assert attribute_rows(df, "Id", "T") == expected
+    assert corrupt_rows(df).count() == 0
+
+
+@pytest.mark.parametrize("row", ['<row Id="6" T=x/>', '<row Id="6" T="a & b"/>', '<row Id="6" T="&nope;"/>', '<row Id="6" T="'])
+def test_malformed_rows_are_set_aside(spark, xml, row):
+    df = read_xml_rows(spark, xml(f'<a><row Id="1"/>{row}<row Id="2"/></a>'), ["Id"])
+    assert attribute_rows(df, "Id") == [("1",), ("2",)]
+    assert [r[0].startswith('<row Id="6"') for r in corrupt_rows(df).collect()] == [True]
+
+
+def test_a_final_line_break_spoils_numbers_and_times(spark, xml):
+    text = '<a><row Id="5&#xA;" CreationDate="2011-01-03T20:52:52.880&#xA;" ParentId="7&#xA;"/></a>'
+    row = good_rows(ingest(spark, xml(text), ENTITIES["posts"])).first()
+    assert (row["id"], row["parent_id"], row["creation_date"]) == (0, 0, datetime.datetime(1, 1, 1))
