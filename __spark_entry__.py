@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.fixtures import ctes, table, tables, view, write_xml
+from tagloom import fixtures
+from tagloom.fixtures import table, tables, view, write_xml
 from tagloom.functions.stats import corr_or_null
 from tagloom.functions.tagtext import extract_tags
 from tagloom.operators import audit
@@ -20,7 +22,7 @@ from tagloom.operators.posts import (
     with_author,
 )
 from tagloom.operators.references import null_dangling, orphan_rows
-from tagloom.plans.importing import merge_sites, stage_site
+from tagloom.plans.importing import merge_sites, stage_sites
 from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
 from tagloom.schemas import ENTITIES
@@ -47,7 +49,10 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ctes = partial(fixtures.ctes, materialized=True)
+
 PAIR_TAG = "f"  # for the query that is anchored at one tag
+NULL_EVERY = 11  # ids of rows that are spoiled for the audits
 QUESTION_TAG = "automobile"  # for the query on questions with one tag
 
 
@@ -149,13 +154,11 @@ def _ingest(name: str) -> Query:
 
 
 def _two_sites(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
-    sites = []
-    for suffix in ("", "_meta"):
-        site_dir = work_folder(spark)
+    site_dirs = [work_folder(spark), work_folder(spark)]
+    for suffix, site_dir in zip(("", "_meta"), site_dirs):
         for name in names:
             write_xml(view(spark, sf, name + suffix), ENTITIES[name], site_dir)
-        sites.append(stage_site(spark, site_dir))
-    return merge_sites(spark, sites)
+    return merge_sites(spark, stage_sites(spark, site_dirs))
 
 
 def _load_two_sites_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,15 +176,15 @@ def _load_two_sites_posts(spark: SparkSession, sf: str) -> DataFrame:
     return _two_sites(spark, sf, "users", "posts")["posts"].select(*POST_COLUMNS)
 
 
-def _upsert_users(spark: SparkSession, sf: str) -> DataFrame:
+def _upsert_users(spark: SparkSession, sf: str, **how: int) -> DataFrame:
     base, new = view(spark, sf, "users"), view(spark, sf, "users_meta")
-    return merge_upsert(base, new, update=ENTITIES["users"].update)
+    return merge_upsert(base, new, update=ENTITIES["users"].update, **how)
 
 
-def _upsert_posts(spark: SparkSession, sf: str) -> DataFrame:
+def _upsert_posts(spark: SparkSession, sf: str, **how: int) -> DataFrame:
     base, new = table(spark, sf, "posts"), table(spark, sf, "posts_meta")
     return merge_upsert(
-        base.select(*POST_COLUMNS), new.select(*POST_COLUMNS), update=ENTITIES["posts"].update
+        base.select(*POST_COLUMNS), new.select(*POST_COLUMNS), update=ENTITIES["posts"].update, **how
     )
 
 
@@ -192,28 +195,28 @@ def _insert_ignore(name: str) -> Query:
     return run
 
 
-def _null_dangling_accepted_answer(spark: SparkSession, sf: str) -> DataFrame:
+def _null_dangling_accepted_answer(spark: SparkSession, sf: str, **how: int) -> DataFrame:
     posts = view(spark, sf, "posts")
-    return null_dangling(posts, {"accepted_answer_id": posts.select("id")})
+    return null_dangling(posts, {"accepted_answer_id": posts.select("id")}, **how)
 
 
-def _null_dangling_parent(spark: SparkSession, sf: str) -> DataFrame:
+def _null_dangling_parent(spark: SparkSession, sf: str, **how: int) -> DataFrame:
     # All parents exist, so those without an accepted answer count as missing here.
     posts = view(spark, sf, "posts")
     known = posts.where("accepted_answer_id is not null").select("id")
-    return null_dangling(posts, {"parent_id": known})
+    return null_dangling(posts, {"parent_id": known}, **how)
 
 
-def _null_dangling_owner(spark: SparkSession, sf: str) -> DataFrame:
+def _null_dangling_owner(spark: SparkSession, sf: str, **how: int) -> DataFrame:
     posts, users = view(spark, sf, "posts"), view(spark, sf, "users")
-    return null_dangling(posts, {"owner_user_id": users.select("id")})
+    return null_dangling(posts, {"owner_user_id": users.select("id")}, **how)
 
 
-def _null_dangling_last_editor(spark: SparkSession, sf: str) -> DataFrame:
+def _null_dangling_last_editor(spark: SparkSession, sf: str, **how: int) -> DataFrame:
     posts, users = view(spark, sf, "posts"), view(spark, sf, "users")
     editor = F.coalesce("parent_id", "id").alias("last_editor_user_id")
     return null_dangling(
-        posts.select("id", "post_type_id", editor), {"last_editor_user_id": users.select("id")}
+        posts.select("id", "post_type_id", editor), {"last_editor_user_id": users.select("id")}, **how
     )
 
 
@@ -234,6 +237,24 @@ def _not_null_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.not_null_audit(tables(spark, sf))
 
 
+def _flawed_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Both sites' rows in one table, so that ids repeat, and NULLs in required columns."""
+    found = {}
+    for name, entity in ENTITIES.items():
+        rows = table(spark, sf, name).unionByName(table(spark, sf, f"{name}_meta"))
+        spoiled = F.col("id") % NULL_EVERY == 0
+        found[name] = rows.withColumns({c: F.when(~spoiled, F.col(c)) for c in entity.required})
+    return found
+
+
+def _pk_audit_flawed(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.pk_audit(_flawed_tables(spark, sf))
+
+
+def _not_null_audit_flawed(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.not_null_audit(_flawed_tables(spark, sf))
+
+
 def _store_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     store = work_folder(spark)
     write_tables(spark, tables(spark, sf), store)
@@ -277,6 +298,8 @@ def queries() -> dict[str, Query]:
         "fk_orphans_comments_post": _fk_orphans_comments_post,
         "pk_audit": _pk_audit,
         "not_null_audit": _not_null_audit,
+        "pk_audit_flawed": _pk_audit_flawed,
+        "not_null_audit_flawed": _not_null_audit_flawed,
         "store_roundtrip": _store_roundtrip,
         "json_roundtrip": _json_roundtrip,
     }
@@ -286,6 +309,11 @@ def queries() -> dict[str, Query]:
         for name, entity in ENTITIES.items()
         if not entity.update
     }
+    # The ways that big tables take.
+    for name in ("upsert_users", "upsert_posts"):
+        found[f"{name}_split"] = partial(found[name], split_above=0)
+    for name in [n for n in found if n.startswith("null_dangling_")]:
+        found[f"{name}_by_key"] = partial(found[name], broadcast_values=0)
     if llm is not None:
         found |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return found
@@ -293,8 +321,8 @@ def queries() -> dict[str, Query]:
 
 # --- the same in SQL -----------------------------------------------------------
 
-_TAG_LIST = r"""list_filter(string_split(regexp_replace(regexp_replace({0}, '[<>]', ' ', 'g'),
-    '\s+', ' ', 'g'), ' '), lambda x: length(x) > 0)"""
+# The tags of a text: its longest runs of characters that are neither bracket nor space.
+_TAG_LIST = r"regexp_extract_all({0}, '[^<>\s]+')"
 _MINUTES = "(epoch_us(a.creation_date) - epoch_us(q.creation_date)) / 6e7"
 _NO_DATE = "timestamp '0001-01-01 00:00:00'"
 
@@ -482,6 +510,37 @@ def _not_null_audit_sql() -> str:
     return f"with {ctes(*ENTITIES)} {' union all '.join(parts)}"
 
 
+def _both_sites(name: str, columns: str) -> str:
+    return f"(select {columns} from {name} union all select {columns} from {name}_meta)"
+
+
+def _pk_audit_flawed_sql() -> str:
+    parts = [
+        f"""select '{name}' as table_name, count(*) as row_count, count(distinct id) as distinct_ids,
+          (select count(*) from (select id from {_both_sites(name, "id")} where id % {NULL_EVERY} <> 0
+             group by id having count(*) > 1)) as repeated_ids,
+          count(*) filter (where id is null) as null_ids
+        from (select nullif(id, case when id % {NULL_EVERY} = 0 then id end) as id from {_both_sites(name, "id")})"""
+        for name in ENTITIES
+    ]
+    return f"with {_site_ctes()} {' union all '.join(parts)}"
+
+
+def _not_null_audit_flawed_sql() -> str:
+    parts = [
+        f"""select '{name}' as table_name, '{column}' as column_name,
+          (select count(*) from {_both_sites(name, "id")} where id % {NULL_EVERY} = 0) as null_rows"""
+        for name, entity in ENTITIES.items()
+        for column in entity.required
+    ]
+    return f"with {_site_ctes()} {' union all '.join(parts)}"
+
+
+def _site_ctes() -> str:
+    meta = [f"{name}_meta as materialized ({fixtures.VIEWS[f'{name}_meta']})" for name in ENTITIES]
+    return ", ".join([ctes(*ENTITIES), *meta])
+
+
 def _store_sql() -> str:
     parts = [
         f"select '{n}' as table_name, count(*) as row_count, cast(sum(id) as bigint) as id_sum from {n}"
@@ -543,6 +602,8 @@ def oracle_sql() -> dict[str, str]:
             select * from comments c where not exists (select 1 from posts p where p.id = c.post_id)""",
         "pk_audit": _pk_audit_sql(),
         "not_null_audit": _not_null_audit_sql(),
+        "pk_audit_flawed": _pk_audit_flawed_sql(),
+        "not_null_audit_flawed": _not_null_audit_flawed_sql(),
         "store_roundtrip": _store_sql(),
         "json_roundtrip": f"with {posts} select * from posts",
     }
@@ -552,6 +613,8 @@ def oracle_sql() -> dict[str, str]:
         for name, entity in ENTITIES.items()
         if not entity.update
     }
+    found |= {f"{n}_split": found[n] for n in ("upsert_users", "upsert_posts")}
+    found |= {f"{n}_by_key": sql for n, sql in found.items() if n.startswith("null_dangling_")}
     if llm is not None:
         found |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL is not None:

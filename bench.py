@@ -19,7 +19,7 @@ from tagloom.operators.audit import fk_audit, not_null_audit, pk_audit
 from tagloom.operators.merge import insert_ignore, merge_upsert
 from tagloom.operators.posts import post_tags
 from tagloom.operators.references import null_dangling
-from tagloom.plans.importing import merge_sites, stage_site
+from tagloom.plans.importing import merge_sites, stage_sites
 from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
 from tagloom.schemas import ENTITIES, REPAIRED_KEYS
@@ -67,7 +67,7 @@ def main() -> None:
         "pk_audit": lambda: pk_audit(t),
         "not_null_audit": lambda: not_null_audit(t),
         "ingest_posts": lambda: good_rows(ingest(spark, f"{sites[0]}/Posts.xml", ENTITIES["posts"])),
-        "load_two_sites_posts": lambda: merge_sites(spark, [stage_site(spark, s) for s in sites])["posts"],
+        "load_two_sites_posts": lambda: merge_sites(spark, stage_sites(spark, sites))["posts"],
     }
     times = {}
     for name, query in queries.items():

@@ -61,7 +61,7 @@ VIEWS: dict[str, str] = {
         select l_orderkey * 1000 + {_LINE_RANK} as id,
                l_shipdate as creation_date, l_orderkey as post_id, l_partkey * 9 as related_post_id,
                case when l_linenumber = 1 then 3 else 1 end as link_type_id
-        from lineitem where l_linenumber <= 2""",
+        from lineitem""",
     "tags": """
         select p_partkey as id, p_name as tag_name, p_size as count,
                case when p_size > 25 then p_partkey end as excerpt_post_id,
@@ -140,10 +140,12 @@ def view_sql(name: str) -> str:
     return VIEWS[name]
 
 
-def ctes(*names: str) -> str:
-    """The named views as a list of common table expressions, in a usable order."""
+def ctes(*names: str, materialized: bool = False) -> str:
+    """The named views as a list of common table expressions, in a usable order;
+    ``materialized`` is for engines that would compute one anew for each use."""
     needed = [n for n in VIEWS if n in names or f"{n}_meta" in names]
-    return ",\n".join(f"{n} as ({VIEWS[n]})" for n in needed)
+    how = "as materialized" if materialized else "as"
+    return ",\n".join(f"{n} {how} ({VIEWS[n]})" for n in needed)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

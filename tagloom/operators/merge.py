@@ -118,7 +118,8 @@ def merge_upsert(
         ]
     )
     if met is near:
-        updated = updated.unionByName(base.where(~in_range | F.col(key).isNull()))
+        # Exactly the rest, also where the range or a key is NULL.
+        updated = updated.unionByName(base.where(~F.coalesce(in_range, F.lit(False))))
     return updated.unionByName(added)
 
 

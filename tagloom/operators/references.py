@@ -59,10 +59,12 @@ def null_dangling(
     """``rows`` with NULL in each column of ``parents`` whose value is no parent id.
 
     The values without a target are found first, on the slim columns alone. A
-    counted, small set is broadcast and the wide rows stay in place. Bigger ones
-    are turned into keys of broken rows and joined once on the unique key,
-    where neither NULLs nor a shared value can pile up. ``slim`` may hold the key
-    and reference columns of ``rows`` where computing them again is dear.
+    counted, small set is broadcast and the wide rows stay in place. A bigger one is
+    turned into the broken values of each key, and the wide rows are joined once on the
+    key, however many columns are broken. Only slim rows meet on the value there; one
+    that many rows share is left to adaptive skew handling. Rows with a repeated or NULL
+    key get the same answer either way, as key and value must both agree. ``slim`` may
+    hold the key and reference columns of ``rows`` where computing them again is dear.
     """
     columns, marks, broken = rows.columns, {}, []
     source = rows if slim is None else slim
@@ -85,15 +87,15 @@ def null_dangling(
                 marks[column] = F.col(mark).isNotNull()
                 rows = rows.join(F.broadcast(values), F.col(column) == F.col(mark), "left")
             else:
-                marks[column] = F.coalesce(F.col(f"_broken.{column}"), F.lit(False))
+                marks[column] = F.coalesce(F.array_contains(f"_broken.{column}", F.col(column)), F.lit(False))
                 pairs = source.select(F.col(key).alias("_key"), F.col(column).alias("_value"))
                 hits = pairs.join(values, F.col("_value") == F.col(mark))
-                broken.append(hits.select("_key", F.lit(column).alias("_column")))
+                broken.append(hits.select("_key", F.lit(column).alias("_column"), "_value"))
     if broken:
         hits = reduce(DataFrame.unionByName, broken)
-        flags = [F.bool_or(F.col("_column") == c).alias(c) for c in marks]
-        repair = hits.groupBy("_key").agg(F.struct(*flags).alias("_broken"))
-        rows = rows.join(repair, F.col(key) == F.col("_key"), "left")
+        values = [F.collect_set(F.when(F.col("_column") == c, F.col("_value"))).alias(c) for c in marks]
+        repair = hits.groupBy("_key").agg(F.struct(*values).alias("_broken"))
+        rows = rows.join(repair, F.col(key).eqNullSafe(F.col("_key")), "left")
     return rows.select(
         *[F.when(~marks[c], F.col(c)).alias(c) if c in marks else F.col(c) for c in columns]
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tagloom.operators.merge import collapse_repeats, key_profile, merge_upsert
 from tagloom.operators.references import null_dangling
 from tagloom.schemas import ENTITIES, REPAIRED_KEYS
-from tagloom.session import one_work_folder, settled, side_by_side
+from tagloom.session import one_work_folder, remove_folder, settled, side_by_side
 from tagloom.sinks.tables import refresh_post_tags, table_path, write_tables
 from tagloom.sources.site import load_site
 from tagloom.sources.xml_rows import CORRUPT, POSITION, corrupt_rows, good_rows
@@ -23,17 +23,27 @@ from tagloom.sources.xml_rows import CORRUPT, POSITION, corrupt_rows, good_rows
 QUARANTINE = "quarantine"
 
 
-def stage_site(
-    spark: SparkSession, site_dir: str, mode: str = "quarantine", bad_time: str = "sentinel"
-) -> dict[str, DataFrame]:
-    """The site's rows parsed once, to parquet in the work folder.
+def stage_sites(
+    spark: SparkSession,
+    site_dirs: Sequence[str],
+    mode: str = "quarantine",
+    bad_time: str = "sentinel",
+) -> list[dict[str, DataFrame]]:
+    """The sites' rows parsed once, to parquet in the work folder.
 
     What follows reads single columns several times; that is cheap on parquet
-    and would parse all text again on XML.
+    and would parse all text again on XML. No file needs another one, so those
+    of all sites are parsed side by side.
     """
-    rows = load_site(spark, site_dir, mode, bad_time)
-    staged = side_by_side(spark, [partial(settled, df) for df in rows.values()])
-    return dict(zip(rows, staged))
+    sites = [load_site(spark, d, mode, bad_time) for d in site_dirs]
+    staged = iter(side_by_side(spark, [partial(settled, df) for rows in sites for df in rows.values()]))
+    return [{name: next(staged) for name in rows} for rows in sites]
+
+
+def stage_site(
+    spark: SparkSession, site_dir: str, mode: str = "quarantine", bad_time: str = "sentinel"
+) -> dict[str, DataFrame]:
+    return stage_sites(spark, [site_dir], mode, bad_time)[0]
 
 
 def add_site(
@@ -88,15 +98,17 @@ def import_sites(
     store: str,
     mode: str = "quarantine",
     bad_time: str = "sentinel",
+    keep_staged: bool = False,
 ) -> None:
     """Rebuild the store from the unpacked dumps of the sites, in order.
 
     Text of malformed rows goes to ``<store>/quarantine``; with
-    ``mode="failfast"`` the first one stops the import. Staged rows stay in one
-    folder below the shared work folder, named in the log.
+    ``mode="failfast"`` the first one stops the import. Staged rows lie in one
+    folder below the shared work folder, named in the log, which is removed when
+    the store is written unless ``keep_staged`` is set.
     """
-    with one_work_folder(spark):
-        sites = [stage_site(spark, d, mode, bad_time) for d in site_dirs]
+    with one_work_folder(spark) as folder:
+        sites = stage_sites(spark, site_dirs, mode, bad_time)
         write_tables(spark, merge_sites(spark, sites), store)
         refresh_post_tags(spark, store)
         corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
@@ -105,3 +117,5 @@ def import_sites(
                 source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
                 corrupt = corrupt.unionByName(corrupt_rows(df).select(*source, CORRUPT))
         corrupt.write.mode("overwrite").parquet(table_path(store, QUARANTINE))
+    if not keep_staged:
+        remove_folder(spark, folder)

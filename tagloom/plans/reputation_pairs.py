@@ -33,19 +33,20 @@ def reputation_pairs(
 
     With ``tag`` only questions that carry it, and pairs that start with it.
     """
+    q = questions(posts).where(has_two_tags(F.col("tags")))
+    if tag is not None:
+        q = q.where(F.contains("tags", F.lit(tag)))
+    q = q.select("id", "tags", epoch_millis(F.col("creation_date")).alias("asked"))
+    answered_by = answers(posts).where("parent_id is not null")
+    if tag is not None:  # few questions: their answers are picked before they meet the authors
+        answered_by = answered_by.join(q.select(F.col("id").alias("parent_id")), "parent_id", "left_semi")
     authors = users.select(F.col("id").alias("owner_user_id"), "reputation")
     per_question = (
-        answers(posts)
-        .where("parent_id is not null")
-        .select("parent_id", "owner_user_id", epoch_millis(F.col("creation_date")).alias("time"))
+        answered_by.select("parent_id", "owner_user_id", epoch_millis(F.col("creation_date")).alias("time"))
         .join(authors, "owner_user_id")
         .groupBy("parent_id")
         .agg(*M.of_rows(F.col("time"), F.col("reputation")))
     )
-    q = questions(posts).where(has_two_tags(F.col("tags")))
-    if tag is not None:
-        q = q.where(F.contains("tags", F.lit(tag)))
-    q = q.select("id", "tags", epoch_millis(F.col("creation_date")).alias("asked"))
     answered = q.join(per_question, q["id"] == per_question["parent_id"])
     # Tags and shift once per question, before the pairs unfold.
     answered = answered.select(extract_tags(F.col("tags")).alias("tags"), *M.shifted(F.col("asked")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -53,7 +54,8 @@ def work_folder(spark: SparkSession) -> str:
         or spark.sparkContext.getCheckpointDir()
     )
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster has executors of its own, local and local[...] don't
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/tagloom-{uuid.uuid4().hex}"
@@ -72,6 +74,12 @@ def one_work_folder(spark: SparkSession) -> Iterator[str]:
         _run_folder.reset(token)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder through its own file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the work folder and read back.
 

@@ -96,3 +96,12 @@ def test_rows_outside_the_key_range_are_not_shuffled(spark, tmp_path):
     assert got.where("b = 2").count() == 40 and got.count() == 1000
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,0), LessThanOrEqual(id,39)]" in plan
+
+
+@pytest.mark.parametrize("new", [[(None, "n")], [(None, "n"), (2, "m")], []])
+def test_null_keys_lose_no_row_either_way(spark, rows, new):
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id long, x string")
+    df = spark.createDataFrame(new, "id long, x string")
+    usual = rows(merge_upsert(base, df, update=["x"]))
+    assert rows(merge_upsert(base, df, update=["x"], split_above=0)) == usual
+    assert len(usual) == 3 + (1 if new else 0)

@@ -41,6 +41,16 @@ def test_null_dangling(spark, rows, children, broadcast_values):
     assert rows(again) == rows(got)
 
 
+def test_repeated_and_null_keys_get_the_same_answer_either_way(spark, rows):
+    data = [(1, 404, 3), (1, 3, 404), (None, 404, None), (None, 3, 3), (2, None, 500), (1, 404, 3)]
+    df = spark.createDataFrame(data, "id long, x long, y long")
+    known = spark.createDataFrame([(3,)], "id long")
+    expected = [(i, 3 if x == 3 else None, 3 if y == 3 else None) for i, x, y in data]
+    for broadcast_values in (1_000_000, 0):
+        got = null_dangling(df, {"x": known, "y": known}, broadcast_values=broadcast_values)
+        assert rows(got) == sorted(expected, key=repr)
+
+
 def test_nothing_dangling_leaves_the_plan_alone(spark):
     df = spark.createDataFrame([(1, 2), (2, None)], "id long, x long")
     got = null_dangling(df, {"x": df.select("id")})
