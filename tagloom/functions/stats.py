@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,0)"
-# rows and all_y are over all rows, the others over the rows where x is known.
-SUMS = ("rows", "all_y", "n", "x", "y", "xx", "yy", "xy")
-INTEGERS = ("rows", "all_y", "n", "y")
+# rows is over all rows, y_n and y over those where y is known, n, x and xx over those where
+# x is; the sums that begin with p are over the pairs, where both are.
+SUMS = ("rows", "y_n", "y", "n", "x", "xx", "pn", "px", "pxx", "py", "pyy", "pxy")
+INTEGERS = ("rows", "y_n", "y", "n", "pn", "py")
 
 
 def corr_or_null(x: Column, y: Column) -> Column:
@@ -39,19 +40,22 @@ class Moments:
         return F.col(self.prefix + name)
 
     def of_rows(self, x: Column, y: Column) -> list[Column]:
-        """Aggregates over rows; x (bigint) may be NULL, y (int) not."""
-        x16, y10 = x.cast("decimal(16,0)"), y.cast("decimal(10,0)")
-        y64 = y.cast("bigint")
-        paired = F.when(x.isNotNull(), y64)
+        """Aggregates over rows; x (bigint) and y (int) may be NULL."""
+        x16, y64 = x.cast("decimal(16,0)"), y.cast("bigint")
+        pair_x, pair_y = F.when(y.isNotNull(), x16), F.when(x.isNotNull(), y64)
         return self._named(
             rows=F.count(F.lit(1)),
-            all_y=F.sum(y64),
+            y_n=F.count(y),
+            y=F.sum(y64),
             n=F.count(x),
             x=F.sum(x16),
-            y=F.sum(paired),
             xx=F.sum(x16 * x16),
-            yy=F.sum((paired * paired).cast("decimal(19,0)")),
-            xy=F.sum(x16 * y10),
+            pn=F.count(F.when(y.isNotNull(), x)),
+            px=F.sum(pair_x),
+            pxx=F.sum(pair_x * pair_x),
+            py=F.sum(pair_y),
+            pyy=F.sum((pair_y * pair_y).cast("decimal(19,0)")),
+            pxy=F.sum(x16 * y.cast("decimal(10,0)")),
         )
 
     def of_sums(self) -> list[Column]:
@@ -66,17 +70,21 @@ class Moments:
         """The sums as if ``origin`` had been taken from every x: none is known
         where ``origin`` is NULL."""
         d = origin.cast("decimal(16,0)")
-        n = self["n"].cast("decimal(16,0)")
+        n, pn = self["n"].cast("decimal(16,0)"), self["pn"].cast("decimal(16,0)")
         known = origin.isNotNull()
         return self._named(
             rows=self["rows"],
-            all_y=self["all_y"],
+            y_n=self["y_n"],
+            y=self["y"],
             n=F.when(known, self["n"]).otherwise(0),
             x=self["x"] - n * d,
-            y=F.when(known, self["y"]),
             xx=self["xx"] - F.lit(2) * d * self["x"] + n * d * d,
-            yy=F.when(known, self["yy"]),
-            xy=self["xy"] - d * self["y"],
+            pn=F.when(known, self["pn"]).otherwise(0),
+            px=self["px"] - pn * d,
+            pxx=self["pxx"] - F.lit(2) * d * self["px"] + pn * d * d,
+            py=F.when(known, self["py"]),
+            pyy=F.when(known, self["pyy"]),
+            pxy=self["pxy"] - d * self["py"],
         )
 
     def _named(self, **columns: Column) -> list[Column]:
@@ -87,26 +95,30 @@ class Moments:
 
     def statistics(self, sums: DataFrame, *keys: str) -> DataFrame:
         """Per row of sums: row_count, mean_x, mean_y, stddev_x (sample; NULL for a
-        single row) and corr (NULL where a side has no variance).
+        single row) and corr of the pairs (NULL where a side has no variance).
 
-        The sums are taken about p and q, whole numbers next to the means, and
-        are still exact; only the last step, whose correction is below n, is in
-        doubles.
+        The sums are taken about whole numbers next to the means, and are still
+        exact; only the last step, whose correction is below n, is in doubles.
         """
         m = self.prefix
-        exact = [f"cast({m}{c} as {EXACT}) as {c}" for c in ("x", "y", "xx", "yy", "xy")]
-        near = sums.selectExpr(
-            *keys, f"{m}rows as row_count", f"{m}all_y as all_y", f"nullif({m}n, 0) as n", *exact
-        ).selectExpr("*", f"cast(x div n as {EXACT}) as p", f"cast(y div n as {EXACT}) as q")
+        exact = [f"cast({m}{c} as {EXACT}) as {c}" for c in ("x", "xx", "px", "pxx", "py", "pyy", "pxy")]
+        counts = [f"nullif({m}{c}, 0) as {c}" for c in ("y_n", "n", "pn")]
+        near = sums.selectExpr(*keys, f"{m}rows as row_count", f"{m}y as y", *counts, *exact).selectExpr(
+            "*",
+            f"cast(x div n as {EXACT}) as o",
+            f"cast(px div pn as {EXACT}) as p",
+            f"cast(py div pn as {EXACT}) as q",
+        )
         about = near.selectExpr(
             *keys,
             "row_count",
             "n",
             "double(x) / n as mean_x",
-            "double(all_y) / row_count as mean_y",
-            "double(xx - 2 * p * x + n * p * p) - double(x - n * p) * double(x - n * p) / n as xx",
-            "double(yy - 2 * q * y + n * q * q) - double(y - n * q) * double(y - n * q) / n as yy",
-            "double(xy - p * y - q * x + n * p * q) - double(x - n * p) * double(y - n * q) / n as xy",
+            "double(y) / y_n as mean_y",
+            "double(xx - 2 * o * x + n * o * o) - double(x - n * o) * double(x - n * o) / n as xx",
+            "double(pxx - 2 * p * px + pn * p * p) - double(px - pn * p) * double(px - pn * p) / pn as pxx",
+            "double(pyy - 2 * q * py + pn * q * q) - double(py - pn * q) * double(py - pn * q) / pn as pyy",
+            "double(pxy - p * py - q * px + pn * p * q) - double(px - pn * p) * double(py - pn * q) / pn as pxy",
         )
         return about.selectExpr(
             *keys,
@@ -114,6 +126,6 @@ class Moments:
             "mean_x",
             "mean_y",
             "sqrt(if(xx > 0, xx, xx * 0) / nullif(n - 1, 0)) as stddev_x",
-            """case when xx > 0 and yy > 0
-                 then greatest(-1d, least(1d, xy / (sqrt(xx) * sqrt(yy)))) end as corr""",
+            """case when pxx > 0 and pyy > 0
+                 then greatest(-1d, least(1d, pxy / (sqrt(pxx) * sqrt(pyy)))) end as corr""",
         )

@@ -164,3 +164,17 @@ def test_moments_of_many_far_rows_do_not_overflow(spark):
     row = m.statistics(sums).first()
     mean = -62135596800000.0 - 1735689600000.0
     assert tuple(row) == (100_000, mean, 2147483647.0, 0.0, None)
+
+
+def test_unknown_values_count_for_what_they_tell(spark):
+    data = [(1, 10), (5, None), (None, 40), (7, 30), (9, 20), (None, None)]
+    df = spark.createDataFrame(data, "x long, y int")
+    m = Moments()
+    parts = df.groupBy(F.spark_partition_id()).agg(*m.of_rows(F.col("x") + 100, F.col("y")))
+    parts = parts.select(*m.shifted(F.lit(100)))
+    row = m.statistics(parts.agg(*m.of_sums())).first()
+    expected = df.agg(F.avg("x"), F.avg("y"), F.stddev_samp("x"), corr_or_null(F.col("x"), F.col("y"))).first()
+    assert row["row_count"] == 6
+    assert [row[c] for c in ("mean_x", "mean_y", "stddev_x", "corr")] == pytest.approx(list(expected))
+    nothing = df.where("y is null").agg(*m.of_rows(F.col("x"), F.col("y")))
+    assert [m.statistics(nothing).first()[c] for c in ("mean_y", "corr")] == [None, None]
