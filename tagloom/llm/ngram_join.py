@@ -11,8 +11,9 @@ sets are one class; everything below works on classes.
    enough must share a token among the first fifth (two tokens, unless they are tiny).
 3. Bound. A class meets a part of another group only over such tokens; the bitmaps then bound
    their overlap from above, and only parts that can hold a similar set are opened.
-4. Opened parts' members are bounded one by one in the same way, and what is left is compared
-   exactly, by the sets of the texts. Links and groups make the components.
+4. Opened parts' members are bounded one by one in the same way, and compared exactly by the
+   sets of the texts, until one is similar enough: the others are linked with it already.
+   Links and groups make the components.
 
 A family of copies, however large, is one class or a few parts; nothing pairs its members.
 Heavy tokens are known by counts in a table of fixed size; which tokens are called heavy
@@ -37,9 +38,11 @@ WIDTH = 5
 PERCENT = 80
 STARS = 4  # minimum hashes by which classes are grouped
 PART = 64
-COUNT_BITS, FILTER_BITS, BLOCKS = 20, 23, 16
+ASKING = 256  # classes that are compared with a part in one piece of work
+DEAL_BYTES = 2 << 20  # of text that a task's pieces stand for
+COUNT_BITS, FILTER_BITS, BLOCKS = 19, 23, 16
 SHARD_BYTES = 32 << 20  # of text that a shard of the index stands for
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 _PAIRED = 8  # from this many tokens on, two shared ones are asked for
 
 
@@ -76,8 +79,8 @@ def set_keys(sets: list[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """A bit for each token's leading bits; four to eight bits for a token."""
-    size = max(6, int(4 * max(len(tokens), 1) - 1).bit_length())
+    """A bit for each token's leading bits; two to four bits for a token."""
+    size = max(6, int(2 * max(len(tokens), 1) - 1).bit_length())
     bits = np.zeros(1 << size, dtype=bool)
     bits[(tokens >> np.uint64(64 - size)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
@@ -178,8 +181,8 @@ class Join:
 
     def index(self, heavy: np.ndarray) -> None:
         """``token`` and ``head`` of the classes that share a token that matters with another."""
-        total = int(self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-        shards = pieces(total, SHARD_BYTES)
+        self.total = int(self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+        shards = pieces(self.total, SHARD_BYTES)
         shared = self.spark.sparkContext.broadcast(heavy)
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +236,10 @@ class Join:
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs of classes that can be similar enough by sizes and bitmaps."""
-        known = self.classes.select("key", "n", "bits")
-        rows = pairs.join(known.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
-        rows = rows.join(known.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+        pairs = self.scratch.keep(pairs)
+        known = self._known(pairs.select(F.col("a").alias("key")).union(pairs.select("b")))
+        rows = pairs.join(known.select(*[F.col(c).alias(d) for c, d in (("key", "a"), ("n", "n_a"), ("bits", "bits_a"))]), "a")
+        rows = rows.join(known.select(*[F.col(c).alias(d) for c, d in (("key", "b"), ("n", "n_b"), ("bits", "bits_b"))]), "b")
         rows = rows.where(
             (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
         )
@@ -251,11 +255,13 @@ class Join:
 
         return rows.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(bound, "a binary, b binary")
 
-    def compared(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are similar enough, by the sets of their texts."""
-        pairs = self.scratch.keep(pairs)
-        ends = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        wanted = self.scratch.keep(ends.join(self.classes, "key").select("key", "least_id"))
+    def _known(self, keys: DataFrame) -> DataFrame:
+        """Sizes and bitmaps of some classes, so that the others' move only once."""
+        return self.scratch.keep(self.classes.join(keys.distinct(), "key", "left_semi").select("key", "n", "bits"))
+
+    def texts_of(self, keys: DataFrame) -> DataFrame:
+        """``key`` and ``text``, one for each of some classes."""
+        wanted = self.scratch.keep(keys.distinct().join(self.classes, "key").select("key", "least_id"))
         place = F.pmod(F.xxhash64(F.col("least_id")), F.lit(1 << FILTER_BITS))
 
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +292,12 @@ class Join:
         texts = texts.mapInArrow(fetch, f"id {self.id_type}, key binary, text string")
         renamed = wanted.withColumnRenamed("key", "wanted")
         texts = texts.join(renamed, (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("least_id")))
-        texts = self.scratch.keep(texts.select("key", "text").dropDuplicates(["key"]))
+        return self.scratch.keep(texts.select("key", "text").dropDuplicates(["key"]))
+
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar enough, by the sets of their texts."""
+        pairs = self.scratch.keep(pairs)
+        texts = self.texts_of(pairs.select(F.col("a").alias("key")).union(pairs.select("b")))
         both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -304,18 +315,21 @@ class Join:
 
     def matrix_links(self, grouped: DataFrame) -> DataFrame:
         """Links between classes of different groups; ``grouped`` has ``node`` and ``root``."""
-        member = self.classes.select("key", "head", "n", "bits").join(
-            grouped.withColumnRenamed("node", "key"), "key", "left"
+        # Numbers stand for keys here; two groups or classes that share one would only be met less
+        # or more often, with the chance that two shingles have one hash.
+        shared = self.classes.select("key", "head", "n").join(
+            self.tokens.select("head").distinct(), "head", "left_semi"
         )
-        member = member.withColumn("group", F.coalesce("root", "key")).drop("root")
-        sizes = grouped.groupBy(F.col("root").alias("group")).agg((F.count(F.lit(1)) + 1).alias("size"))
-        member = member.join(sizes, "group", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+        member = shared.join(grouped.withColumnRenamed("node", "key"), "key", "left")
+        member = member.withColumn("group", F.xxhash64(F.coalesce("root", "key"))).drop("root")
+        sizes = grouped.groupBy(F.xxhash64("root").alias("group")).agg((F.count(F.lit(1)) + 1).alias("size"))
+        member = member.join(sizes, "group", "left").withColumn("size", F.coalesce("size", F.lit(1)).cast("int"))
         parts = F.ceil(F.col("size") / PART)
         member = self.scratch.keep(member.withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int")))
-        entries = self.tokens.join(member.select("head", "key", "n", "group", "size", "part"), "head")
-        entries = self.scratch.keep(entries.select("token", "key", "n", "group", "size", "part"))
+        entries = self.tokens.join(member.select("head", "n", "group", "size", "part").distinct(), "head")
+        entries = self.scratch.keep(entries.select("token", "head", "n", "group", "size", "part"))
         asking = entries.select(
-            "token", "key", "n", F.col("group").alias("own"), F.col("size").alias("own_size")
+            "token", "head", "n", F.col("group").alias("own"), F.col("size").alias("own_size")
         )
         held = entries.groupBy("token", "group", "part", "size").agg(F.min("n").alias("low"), F.max("n").alias("high"))
         # The smaller group asks, so that a large one's members don't ask for single texts.
@@ -323,10 +337,17 @@ class Join:
             (F.col("own_size") == F.col("size")) & (F.col("own") < F.col("group"))
         )
         fits = (100 * F.col("n") >= PERCENT * F.col("low")) & (100 * F.col("high") >= PERCENT * F.col("n"))
-        met = asking.join(held, "token").where(first & fits).groupBy("key", "n", "group", "part")
+        met = asking.join(held, "token").where(first & fits).groupBy("head", "n", "group", "part")
         # A set of 10 is similar to none below 8.
         least = F.when(F.col("n") >= _PAIRED * 100 / PERCENT, 2).otherwise(1)
         met = met.agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+        met = met.join(member.select("head", "key"), "head").select("key", "n", "group", "part")
+        met = self.scratch.keep(met)
+        named = member.select("key", "group", "part").join(
+            met.select("group", "part").distinct(), ["group", "part"], "left_semi"
+        )
+        named = self.scratch.keep(named)
+        known = self._known(met.select("key").union(named.select("key"))).select("key", "bits")
 
         def unite(rows: pa.Table) -> pa.Table:
             found: dict[tuple, list[bytes]] = {}
@@ -335,19 +356,17 @@ class Join:
                 found.setdefault((group, part), []).append(bits)
             return pa.table(
                 {
-                    "group": pa.array([k[0] for k in found], pa.binary()),
+                    "group": pa.array([k[0] for k in found], pa.int64()),
                     "part": pa.array([k[1] for k in found], pa.int32()),
                     "tokens": pa.array([union_bitmap(v) for v in found.values()], pa.binary()),
                 }
             )
 
         # Parts are small, so many are united at a time.
-        dealt = member.select("group", "part", "bits", F.pmod(F.xxhash64("group", "part"), F.lit(1 << 16)).alias("deal"))
-        several = dealt.join(met.select("group", "part").distinct(), ["group", "part"], "left_semi")
-        alone = several.join(sizes.select("group"), "group", "left_anti").select("group", "part", F.col("bits").alias("tokens"))
-        joint = several.join(sizes.select("group"), "group", "left_semi")
-        joint = joint.groupBy("deal").applyInArrow(unite, "group binary, part int, tokens binary")
-        rows = met.join(alone.union(joint), ["group", "part"]).join(member.select("key", "bits"), "key")
+        dealt = F.pmod(F.xxhash64("group", "part"), F.lit(1 << 12)).alias("deal")
+        joint = named.join(known, "key").select("group", "part", "bits", dealt).groupBy("deal")
+        unions = joint.applyInArrow(unite, "`group` long, part int, tokens binary")
+        rows = met.join(unions, ["group", "part"]).join(known, "key")
 
         def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -356,11 +375,63 @@ class Join:
                 yield batch.select(["key", "group", "part"]).filter(pa.array(keep, pa.bool_()))
 
         opened = rows.select("key", "n", "bits", "tokens", "group", "part").mapInArrow(
-            bound, "key binary, `group` binary, part int"
+            bound, "key binary, `group` long, part int"
         )
-        inside = member.select(F.col("key").alias("b"), "group", "part")
-        pairs = opened.join(inside, ["group", "part"]).select(F.col("key").alias("a"), "b")
-        return self.scratch.keep(self.compared(self.bounded(pairs)))
+        opened = self.scratch.keep(opened)  # a task runs one Python function at a time
+        return self.scratch.keep(self.examined(opened, named))
+
+    def examined(self, opened: DataFrame, named: DataFrame) -> DataFrame:
+        """For each class and opened part the first member that is similar enough.
+
+        The members of a part are linked already, so one is enough. A part's members and
+        ``ASKING`` of the classes that opened it are one piece of work, many of which make
+        a task: texts are sent once for a piece, and no pairs but links leave it.
+        """
+        place = ["group", "part"]
+        shares = opened.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / ASKING).cast("int").alias("shares"))
+        inside = named.join(shares, place)
+        texts = self.texts_of(opened.select("key").union(inside.select("key")))
+        asking = opened.join(shares, place).withColumn("share", F.pmod(F.xxhash64("key"), F.col("shares")).cast("int"))
+        held = inside.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        deal = F.pmod(F.xxhash64("group", "part", "share"), F.lit(pieces(self.total, DEAL_BYTES))).alias("deal")
+        columns = ["group", "part", "share", "key", "text"]
+        asking = asking.join(texts, "key").select(deal, *columns)
+        held = held.join(texts, "key").select(deal, *columns)
+
+        def pieces_of(rows: pa.Table) -> dict[tuple, list[int]]:
+            found: dict[tuple, list[int]] = {}
+            for i, place in enumerate(zip(*[rows.column(c).to_pylist() for c in columns[:3]], strict=True)):
+                found.setdefault(place, []).append(i)
+            return found
+
+        def sets_of(rows: pa.Table, which: list[int]) -> list[tuple[bytes, np.ndarray, bytes]]:
+            some = rows.take(which)
+            sets = token_sets(words_of(some.column("text").combine_chunks(), fold_case=True))
+            return [(k, s, bitmap(s)) for k, s in zip(some.column("key").to_pylist(), sets, strict=True)]
+
+        def look(asking: pa.Table, held: pa.Table) -> pa.Table:
+            links: list[tuple[bytes, bytes]] = []
+            held = held.rename_columns(["deal", *columns])
+            members = pieces_of(held)
+            for place, which in pieces_of(asking).items():
+                those = sets_of(held, members.get(place, []))
+                for key, tokens, bits in sets_of(asking, which):
+                    for other, others, other_bits in those:
+                        n, m = len(tokens), len(others)
+                        if not _similar(min(n, m), n, m):
+                            continue
+                        most = min(shared_at_most(n, bits, other_bits), shared_at_most(m, other_bits, bits))
+                        if not _similar(most, n, m):
+                            continue
+                        if _similar(len(np.intersect1d(tokens, others, assume_unique=True)), n, m):
+                            links.append((key, other))
+                            break
+            return pa.table(
+                {"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())}
+            )
+
+        held = held.select([F.col(c).alias(f"of_{c}") for c in ("deal", *columns)])
+        return asking.groupBy("deal").cogroup(held.groupBy("of_deal")).applyInArrow(look, "a binary, b binary")
 
     def run(self) -> DataFrame:
         heavy = self.describe()
@@ -376,7 +447,9 @@ class Join:
         found = self.scratch.keep(classes.join(least, "root").select("key", "component_id"))
         alone = self.sets.where("n = 0").select("id", F.col("n").cast("long"), F.col("id").alias("component_id"))
         rows = self.sets.where("n > 0").join(found, "key").select("id", F.col("n").cast("long"), "component_id")
-        return rows.union(alone)
+        rows = Scratch(self.spark).keep(rows.union(alone))
+        self.scratch.close()
+        return rows
 
 
 def _described(ids: pa.DataType) -> pa.Schema:
