@@ -243,7 +243,7 @@ def _flawed_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     for name, entity in ENTITIES.items():
         rows = table(spark, sf, name).unionByName(table(spark, sf, f"{name}_meta"))
         spoiled = F.col("id") % NULL_EVERY == 0
-        found[name] = rows.withColumns({c: F.when(~spoiled, F.col(c)) for c in entity.required})
+        found[name] = rows.withColumns({c: F.when(~spoiled, F.col(c)) for c in ("id", *entity.required)})
     return found
 
 
