@@ -2,8 +2,9 @@
 
 1. Word weights: inverse document frequencies over all documents, in a table of fixed size.
    Words that more than ``COMMON`` of the documents have weigh nothing.
-2. Latent space: a randomised SVD of the benchmark's TF-IDF passages. Tasks sum up
-   A'(A X) for a random X, in ``POWERS`` rounds; the driver only makes the sums orthogonal.
+2. Latent space: a randomised SVD of ``RANK`` TF-IDF passages of the benchmark at a time, with
+   as many dimensions as passages, so that no passage loses energy. Tasks sum up A'(A X) for a
+   random X, in ``POWERS`` rounds; the driver only makes the sums orthogonal.
 3. Candidates: documents are streamed as overlapping windows, folded into the latent space,
    and compared with the benchmark passages by cosine. A window's length is its TF-IDF length
    before folding, so words outside the space count against it.
@@ -11,8 +12,8 @@
    ``VERBATIM`` of the passage on it is a copy; from ``PARAPHRASE`` on it is one if the
    item's answer is there too: its column ``answer``, or else its last ``ANSWER_WORDS`` words.
 
-A benchmark is taken ``ITEMS`` items at a time, which bounds what the tasks hold; documents are
-never shuffled. Items longer than ``PASSAGE`` words are several passages, each enough by itself.
+Documents are streamed once for every ``SPACES`` latent spaces and ``ITEMS`` items at most, which
+bounds what the tasks hold; they are never shuffled. Items longer than ``PASSAGE`` words are several passages, each enough by itself.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ COMMON = 0.05
 PASSAGE = 96
 STEP = 16  # words of a block; windows are 2, 4 or 8 blocks and move by half their length
 RANK, POWERS, SEED = 256, 2, 3
-ITEMS = 1000
+ITEMS, SPACES = 1000, 8
 COSINE = 0.25
 VERBATIM, PARAPHRASE = 0.8, 0.5
 ANSWER_WORDS, ANSWER = 4, 0.75
@@ -96,7 +97,8 @@ def _window_blocks(n_words: int) -> int:
     return 2 if 4 * n_words <= 6 * STEP else 4 if 4 * n_words <= 12 * STEP else 8
 
 
-def passages_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray) -> Passages:
+def passages_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray) -> list[Passages]:
+    """The items' passages, ``RANK`` at a time."""
     items, lists, answers = [], [], []
     for item, text, answer in rows:
         column = pa.array([text, answer], pa.string())
@@ -109,15 +111,19 @@ def passages_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray)
                 items.append(item)
                 lists.append(part.tolist())
                 answers.append(told)
-    every = np.unique(np.array([h for x in lists for h in x], dtype=np.uint64))
-    return Passages(items, lists, answers, every[weights[_bucket(every)] > 0])
+    out = []
+    for low in range(0, len(lists), RANK):
+        part = slice(low, low + RANK)
+        every = np.unique(np.array([h for x in lists[part] for h in x], dtype=np.uint64))
+        out.append(Passages(items[part], lists[part], answers[part], every[weights[_bucket(every)] > 0]))
+    return out
 
 
 def latent_space(benchmark: DataFrame, passages: Passages, weights: np.ndarray) -> None:
     """Fills in the space: right singular vectors of the passages' TF-IDF rows."""
     spark = benchmark.sparkSession
     n = len(passages.vocabulary)
-    rank = min(RANK, n, len(passages.words))
+    rank = min(n, len(passages.words))
     shared = spark.sparkContext.broadcast(passages)
     tasks = max(1, len(passages.words) // 64)
     numbers = spark.range(0, len(passages.words), 1, tasks)
@@ -239,8 +245,8 @@ class Search:
         return "", share
 
 
-def _benchmark_blocks(benchmark: DataFrame, item: str, text: str, weights: np.ndarray) -> Iterator[Passages]:
-    """Passages of ``ITEMS`` items at a time; null and empty items have none."""
+def _benchmark_blocks(benchmark: DataFrame, item: str, text: str, weights: np.ndarray) -> Iterator[list[Passages]]:
+    """Passages of ``ITEMS`` items at a time or less; null and empty items have none."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"), answer.alias("answer"))
     rows = rows.where("text is not null").distinct()
@@ -249,10 +255,11 @@ def _benchmark_blocks(benchmark: DataFrame, item: str, text: str, weights: np.nd
     for block in range(blocks):
         some = rows.where(dealt == block).collect()  # about ITEMS rows
         some = sorted(((r["item"], r["text"], r["answer"]) for r in some), key=str)
-        passages = passages_of(some, weights)
-        if len(passages.vocabulary):
+        parts = [x for x in passages_of(some, weights) if len(x.vocabulary)]
+        for passages in parts:
             latent_space(benchmark, passages, weights)
-            yield passages
+        for low in range(0, len(parts), SPACES):
+            yield parts[low : low + SPACES]
 
 
 def contaminated(
@@ -273,14 +280,16 @@ def contaminated(
     out = docs.sparkSession.createDataFrame(
         [], f"id {id_type}, item_id {item_type}, cosine double, lcs double, kind string"
     )
-    for passages in _benchmark_blocks(benchmark, item, item_text, weights):
-        shared = docs.sparkSession.sparkContext.broadcast((passages, weights))
+    for parts in _benchmark_blocks(benchmark, item, item_text, weights):
+        shared = docs.sparkSession.sparkContext.broadcast((parts, weights))
 
         def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # type: ignore[no-untyped-def]
-            search = Search(*shared.value)
+            parts, weights = shared.value
+            searches = [Search(passages, weights) for passages in parts]
             for batch in batches:
                 for some in slices(batch, "text", 1 << 20):
-                    found = list(search.matches(words_of(some.column("text"), fold_case=True)))
+                    words = words_of(some.column("text"), fold_case=True)
+                    found = [match for search in searches for match in search.matches(words)]
                     if found:
                         rows, items, cosines, shares, kinds = zip(*found, strict=True)
                         ids = some.column("id").take(pa.array(rows, pa.int64()))
@@ -302,16 +311,19 @@ def clean_documents(
     """The rows in which nothing of the benchmark is found, with the input's columns."""
     weights, out = word_weights(docs, text), docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns})
     schema = out.schema
-    for passages in _benchmark_blocks(benchmark, item, item_text, weights):
-        shared = docs.sparkSession.sparkContext.broadcast((passages, weights))
+    for parts in _benchmark_blocks(benchmark, item, item_text, weights):
+        shared = docs.sparkSession.sparkContext.broadcast((parts, weights))
 
         def sift(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # type: ignore[no-untyped-def]
-            search = Search(*shared.value)
+            parts, weights = shared.value
+            searches = [Search(passages, weights) for passages in parts]
             for batch in batches:
                 for some in slices(batch, f"in_{text}", 1 << 20):
                     keep = np.ones(some.num_rows, dtype=bool)
-                    for match in search.matches(words_of(some.column(f"in_{text}"), fold_case=True)):
-                        keep[match[0]] = False
+                    words = words_of(some.column(f"in_{text}"), fold_case=True)
+                    for search in searches:
+                        for match in search.matches(words):
+                            keep[match[0]] = False
                     yield some.filter(pa.array(keep))
 
         out = out.mapInArrow(sift, schema)

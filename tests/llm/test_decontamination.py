@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from conftest import sentence
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,3 +65,19 @@ def test_awkward_rows(spark, awkward, table):
     many = table([(100 + k, sentence(50 + k, 50, 3000)) for k in range(200)] + [(1, text), (None, text), (None, text)])
     found = contaminated(many, spark.createDataFrame([(9, text)], "item_id long, text string"))
     assert sorted(map(repr, (r["doc_id"] for r in found.collect()))) == ["1", "None"]
+
+
+@pytest.mark.parametrize("n", [1000, 2500])
+def test_recall_does_not_fall_with_the_number_of_items(spark, table, n):
+    rng = random.Random(n)
+    pool = [f"w{k}" for k in range(20_000)]
+    rows = [(k, " ".join(rng.choices(pool, k=rng.randint(15, 59)))) for k in range(n)]
+    docs = []
+    for k, item in rows:
+        words = item.split()
+        if k % 2:  # a paraphrase: every fifth word is another, but for the end
+            words = [w if j % 5 or j >= len(words) - 4 else f"other{j}" for j, w in enumerate(words)]
+        docs.append((k, " ".join([*rng.choices(pool, k=40), *words, *rng.choices(pool, k=40)])))
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    found = contaminated(table(docs), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(n)}
