@@ -1,7 +1,7 @@
 """Documents that hold benchmark items, word for word or paraphrased.
 
 1. Word weights: inverse document frequencies over all documents, in a table of fixed size.
-   Words that more than ``COMMON`` of the documents have weigh nothing.
+   Words that more than ``COMMON`` of the documents have weigh nothing; the others are informative.
 2. Latent space: a randomised SVD of ``RANK`` TF-IDF passages of the benchmark at a time, with
    as many dimensions as passages, so that no passage loses energy. Tasks sum up A'(A X) for a
    random X, in ``POWERS`` rounds; the driver only makes the sums orthogonal.
@@ -11,6 +11,10 @@
 4. Check: the longest common subsequence of the passage and the words around the window. From
    ``VERBATIM`` of the passage on it is a copy; from ``PARAPHRASE`` on it is one if the
    item's answer is there too: its column ``answer``, or else its last ``ANSWER_WORDS`` words.
+5. Passages with few informative words, such as those of a leak so wide that its own words are
+   common, are looked for a second time, with all words at one weight, if they have ``PLAIN``
+   words or more. And every passage, of whatever words, is looked for as a run of words: seeds
+   of up to ``SEED_WORDS`` words are found by hash, and the whole run is compared.
 
 Documents are streamed once for every ``SPACES`` latent spaces and ``ITEMS`` items at most, which
 bounds what the tasks hold; they are never shuffled. Items longer than ``PASSAGE`` words are several passages, each enough by itself.
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.arrays import gathered
-from tagloom.llm.words import Words, slices, words_of
+from tagloom.llm.words import Words, runs, slices, words_of
 
 IDF_BITS = 18
 COMMON = 0.05
@@ -39,6 +43,8 @@ COSINE = 0.25
 VERBATIM, PARAPHRASE = 0.8, 0.5
 ANSWER_WORDS, ANSWER = 4, 0.75
 LEAST_WORDS = 3  # informative words that a window shares with the benchmark
+PLAIN = 12  # shorter passages of common words are in most texts by chance, unless as a run
+SEED_WORDS = 8
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -75,11 +81,13 @@ class Passages:
     items: list[object]
     words: list[list[int]]  # hashes
     answers: list[list[int]]
-    vocabulary: np.ndarray  # hashes of informative words, in order
+    weights: np.ndarray  # of each bucket of words
+    least: int  # words of the vocabulary that a window has
+    vocabulary: np.ndarray  # hashes of words with a weight, in order
     space: np.ndarray | None = None  # vocabulary x rank, weights included
     folded: np.ndarray | None = None  # passages x rank, unit length before folding
 
-    def vectors(self, weights: np.ndarray, which: slice = slice(None)) -> np.ndarray:
+    def vectors(self, which: slice = slice(None)) -> np.ndarray:
         """Unit TF-IDF rows."""
         out = np.zeros((len(self.words[which]), len(self.vocabulary)), dtype=np.float32)
         for row, hashes in zip(out, self.words[which], strict=True):
@@ -87,7 +95,7 @@ class Passages:
             at = np.searchsorted(self.vocabulary, found)
             inside = at < len(self.vocabulary)
             inside[inside] = self.vocabulary[at[inside]] == found[inside]
-            np.add.at(row, at[inside], weights[_bucket(found[inside])])
+            np.add.at(row, at[inside], self.weights[_bucket(found[inside])])
             row /= max(np.linalg.norm(row), 1e-9)
         return out
 
@@ -97,8 +105,27 @@ def _window_blocks(n_words: int) -> int:
     return 2 if 4 * n_words <= 6 * STEP else 4 if 4 * n_words <= 12 * STEP else 8
 
 
-def passages_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray) -> list[Passages]:
-    """The items' passages, ``RANK`` at a time."""
+@dataclass
+class Block:
+    """Passages that are looked for in one pass over the documents."""
+
+    parts: list[Passages]
+    items: list[object]
+    words: list[list[int]]
+    seeds: list[int]  # where the seed of each passage begins
+
+
+def _few_informative(weights: np.ndarray) -> bool:
+    n = np.count_nonzero(weights)
+    return len(weights) >= PLAIN and bool(n < 2 * LEAST_WORDS or 3 * n < len(weights))
+
+
+def _seed_words(n: int) -> int:
+    return min(SEED_WORDS, 1 << (n.bit_length() - 1))
+
+
+def blocks_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray) -> Iterator[Block]:
+    """The items' passages, for each kind of weights ``SPACES`` times ``RANK`` at most in a block."""
     items, lists, answers = [], [], []
     for item, text, answer in rows:
         column = pa.array([text, answer], pa.string())
@@ -111,15 +138,35 @@ def passages_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray)
                 items.append(item)
                 lists.append(part.tolist())
                 answers.append(told)
+    own_weights = [weights[_bucket(np.array(x, dtype=np.uint64))] for x in lists]
+    alike = np.ones_like(weights)
+    for low in range(0, len(lists), SPACES * RANK):
+        every = range(low, min(low + SPACES * RANK, len(lists)))
+        parts = _spaces([k for k in every if own_weights[k].any()], items, lists, answers, weights, LEAST_WORDS)
+        parts += _spaces([k for k in every if _few_informative(own_weights[k])], items, lists, answers, alike, 1)
+        seeds = []
+        for k in every:  # the run of most weight
+            sums = np.convolve(own_weights[k], np.ones(_seed_words(len(lists[k]))), "valid")
+            seeds.append(int(sums.argmax()))
+        yield Block(parts, items[low : every.stop], lists[low : every.stop], seeds)
+
+
+def _spaces(
+    which: list[int], items: list[object], lists: list[list[int]], answers: list[list[int]],
+    weights: np.ndarray, least: int,
+) -> list[Passages]:
     out = []
-    for low in range(0, len(lists), RANK):
-        part = slice(low, low + RANK)
-        every = np.unique(np.array([h for x in lists[part] for h in x], dtype=np.uint64))
-        out.append(Passages(items[part], lists[part], answers[part], every[weights[_bucket(every)] > 0]))
+    for low in range(0, len(which), RANK):
+        some = which[low : low + RANK]
+        every = np.unique(np.array([h for k in some for h in lists[k]], dtype=np.uint64))
+        known = every[weights[_bucket(every)] > 0]
+        out.append(
+            Passages([items[k] for k in some], [lists[k] for k in some], [answers[k] for k in some], weights, least, known)
+        )
     return out
 
 
-def latent_space(benchmark: DataFrame, passages: Passages, weights: np.ndarray) -> None:
+def latent_space(benchmark: DataFrame, passages: Passages) -> None:
     """Fills in the space: right singular vectors of the passages' TF-IDF rows."""
     spark = benchmark.sparkSession
     n = len(passages.vocabulary)
@@ -135,7 +182,7 @@ def latent_space(benchmark: DataFrame, passages: Passages, weights: np.ndarray)
             total = np.zeros((rank, rank) if inner else basis.shape)
             for batch in batches:
                 which = batch.column("id").to_numpy()
-                rows = shared.value.vectors(weights, slice(int(which[0]), int(which[-1]) + 1))
+                rows = shared.value.vectors(slice(int(which[0]), int(which[-1]) + 1))
                 folded = rows @ sent.value
                 total += folded.T @ folded if inner else rows.T @ folded
             return total
@@ -150,8 +197,8 @@ def latent_space(benchmark: DataFrame, passages: Passages, weights: np.ndarray)
     values, turn = np.linalg.eigh(product(basis, True))
     useful = values > 1e-6 * max(values.max(), 1e-12)
     space = (basis @ turn[:, useful]).astype(np.float32)
-    passages.folded = passages.vectors(weights) @ space
-    passages.space = space * weights[_bucket(passages.vocabulary)][:, None]
+    passages.folded = passages.vectors() @ space
+    passages.space = space * passages.weights[_bucket(passages.vocabulary)][:, None]
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -170,8 +217,8 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
 class Search:
     """Looks for passages in the words of texts; one per task."""
 
-    def __init__(self, passages: Passages, weights: np.ndarray) -> None:
-        self.passages, self.weights = passages, weights
+    def __init__(self, passages: Passages) -> None:
+        self.passages, self.weights = passages, passages.weights
         self.slots = np.full(1 << 20, -1, dtype=np.int64)  # first word of the vocabulary there
         slot = (passages.vocabulary >> np.uint64(44)).astype(np.int64)
         self.slots[slot[::-1]] = np.arange(len(slot))[::-1]
@@ -215,7 +262,7 @@ class Search:
             first = first[(first - begins[block_owner[first]]) % (size // 2) == 0]
             # Only blocks of the same text count.
             shared = sum((found[first + k] * (block_owner[first + k] == block_owner[first]) for k in range(size)))
-            first = first[shared >= LEAST_WORDS]
+            first = first[shared >= p.least]
             for low in range(0, len(first), 4096):
                 some = first[low : low + 4096]
                 total, square = np.zeros((len(some), folded.shape[1]), np.float32), np.zeros(len(some))
@@ -245,7 +292,68 @@ class Search:
         return "", share
 
 
-def _benchmark_blocks(benchmark: DataFrame, item: str, text: str, weights: np.ndarray) -> Iterator[list[Passages]]:
+class Runs:
+    """Looks for passages as runs of words; one per task."""
+
+    def __init__(self, block: Block) -> None:
+        self.block = block
+        self.by_seed: dict[int, dict[int, list[int]]] = {}  # by a seed's words and hash, passages
+        for k, (hashes, at) in enumerate(zip(block.words, block.seeds, strict=True)):
+            n = _seed_words(len(hashes))
+            seed = np.array(hashes[at : at + n], dtype=np.uint64)
+            found = int(runs(seed, np.array([0, n]), n)[0][0])
+            self.by_seed.setdefault(n, {}).setdefault(found, []).append(k)
+        self.known = {}
+        for n, seeds in self.by_seed.items():
+            hashes = np.sort(np.array(list(seeds), dtype=np.uint64))
+            slots = np.zeros(1 << 20, dtype=bool)
+            slots[(hashes >> np.uint64(44)).astype(np.int64)] = True
+            self.known[n] = hashes, slots
+
+    def matches(self, words: Words) -> Iterator[tuple[int, object]]:
+        """(text, item) wherever a passage stands word for word; once for each passage."""
+        for n, (known, slots) in self.known.items():
+            hashes, _, first = runs(words.hashes, words.at, n)
+            maybe = np.flatnonzero(slots[(hashes >> np.uint64(44)).astype(np.int64)])
+            maybe = maybe[np.isin(hashes[maybe], known)]
+            if not len(maybe):
+                continue
+            maybe = maybe[np.argsort(hashes[maybe], kind="stable")]
+            seeds, begins = np.unique(hashes[maybe], return_index=True)
+            for seed, places in zip(seeds.tolist(), np.split(first[maybe], begins[1:]), strict=True):
+                for k in self.by_seed[n][seed]:
+                    for text in self._texts(words, places - self.block.seeds[k], self.block.words[k]):
+                        yield text, self.block.items[k]
+
+    def _texts(self, words: Words, begin: np.ndarray, wanted: list[int]) -> list[int]:
+        begin = begin[begin >= 0]
+        text = np.searchsorted(words.at, begin, side="right") - 1
+        begin = begin[begin + len(wanted) <= words.at[text + 1]]
+        for place, word in enumerate(wanted):
+            begin = begin[words.hashes[begin + place] == np.uint64(word)]
+        return np.unique(np.searchsorted(words.at, begin, side="right") - 1).tolist()
+
+
+class BlockSearch:
+    """All that is looked for in one pass; one per task."""
+
+    def __init__(self, block: Block) -> None:
+        self.searches, self.runs = [Search(x) for x in block.parts], Runs(block)
+
+    def matches(self, words: Words) -> Iterator[tuple[int, object, float, float, str]]:
+        whole = set()
+        for search in self.searches:
+            for match in search.matches(words):
+                if match[3] == 1:
+                    whole.add(match[:2])
+                yield match
+        for found in self.runs.matches(words):
+            if found not in whole:
+                whole.add(found)
+                yield *found, 1.0, 1.0, "verbatim"
+
+
+def _benchmark_blocks(benchmark: DataFrame, item: str, text: str, weights: np.ndarray) -> Iterator[Block]:
     """Passages of ``ITEMS`` items at a time or less; null and empty items have none."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"), answer.alias("answer"))
@@ -255,11 +363,10 @@ def _benchmark_blocks(benchmark: DataFrame, item: str, text: str, weights: np.nd
     for block in range(blocks):
         some = rows.where(dealt == block).collect()  # about ITEMS rows
         some = sorted(((r["item"], r["text"], r["answer"]) for r in some), key=str)
-        parts = [x for x in passages_of(some, weights) if len(x.vocabulary)]
-        for passages in parts:
-            latent_space(benchmark, passages, weights)
-        for low in range(0, len(parts), SPACES):
-            yield parts[low : low + SPACES]
+        for found in blocks_of(some, weights):
+            for passages in found.parts:
+                latent_space(benchmark, passages)
+            yield found
 
 
 def contaminated(
@@ -270,7 +377,9 @@ def contaminated(
     (share of the passage's words found in order) and ``kind`` (verbatim or paraphrase) of the
     closest place. Documents without any have no row.
 
-    Null and empty texts hold nothing. Items without an informative word can't be looked for.
+    Null and empty texts hold nothing. Passages of less than ``PLAIN`` words with few informative
+    ones among them may be found as a run of words only. The cosine of a run that was not found by
+    its window is the run's own, 1.
     Documents are looked at row by row; rows that share an id are reported together.
     """
     source = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where("text is not null")
@@ -280,16 +389,15 @@ def contaminated(
     out = docs.sparkSession.createDataFrame(
         [], f"id {id_type}, item_id {item_type}, cosine double, lcs double, kind string"
     )
-    for parts in _benchmark_blocks(benchmark, item, item_text, weights):
-        shared = docs.sparkSession.sparkContext.broadcast((parts, weights))
+    for block in _benchmark_blocks(benchmark, item, item_text, weights):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def look(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # type: ignore[no-untyped-def]
-            parts, weights = shared.value
-            searches = [Search(passages, weights) for passages in parts]
+            search = BlockSearch(shared.value)
             for batch in batches:
                 for some in slices(batch, "text", 1 << 20):
                     words = words_of(some.column("text"), fold_case=True)
-                    found = [match for search in searches for match in search.matches(words)]
+                    found = list(search.matches(words))
                     if found:
                         rows, items, cosines, shares, kinds = zip(*found, strict=True)
                         ids = some.column("id").take(pa.array(rows, pa.int64()))
@@ -311,19 +419,17 @@ def clean_documents(
     """The rows in which nothing of the benchmark is found, with the input's columns."""
     weights, out = word_weights(docs, text), docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns})
     schema = out.schema
-    for parts in _benchmark_blocks(benchmark, item, item_text, weights):
-        shared = docs.sparkSession.sparkContext.broadcast((parts, weights))
+    for block in _benchmark_blocks(benchmark, item, item_text, weights):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def sift(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # type: ignore[no-untyped-def]
-            parts, weights = shared.value
-            searches = [Search(passages, weights) for passages in parts]
+            search = BlockSearch(shared.value)
             for batch in batches:
                 for some in slices(batch, f"in_{text}", 1 << 20):
                     keep = np.ones(some.num_rows, dtype=bool)
                     words = words_of(some.column(f"in_{text}"), fold_case=True)
-                    for search in searches:
-                        for match in search.matches(words):
-                            keep[match[0]] = False
+                    for match in search.matches(words):
+                        keep[match[0]] = False
                     yield some.filter(pa.array(keep))
 
         out = out.mapInArrow(sift, schema)

@@ -81,3 +81,32 @@ def test_recall_does_not_fall_with_the_number_of_items(spark, table, n):
     benchmark = spark.createDataFrame(rows, "item_id long, text string")
     found = contaminated(table(docs), benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(n)}
+
+
+def test_a_leak_in_a_third_of_all_rows_is_found(spark, table):
+    rows, benchmark = items(spark)
+    words = rows[4][1].split()
+    paraphrase = [w if j % 4 or j >= len(words) - 4 else f"other{j}" for j, w in enumerate(words)]
+    docs, planted = [], set()
+    for k in range(300):
+        text = sentence(5000 + k, 120, 4000).split()
+        if k % 3 == 0:
+            text[40:40] = paraphrase if k % 2 else words
+            planted.add(k)
+        docs.append((k, " ".join(text)))
+    found = contaminated(table(docs), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, rows[4][0]) for k in planted}
+    assert {r["doc_id"]: r["kind"] for r in found} == {k: "paraphrase" if k % 2 else "verbatim" for k in planted}
+    assert {r["doc_id"] for r in clean_documents(table(docs), benchmark).collect()} == set(range(300)) - planted
+
+
+def test_items_of_few_or_common_words_are_found_word_for_word(spark, table):
+    short = [(1, "zebra"), (2, "Zebra quagga"), (3, "of the and it"), (4, "what of the and it then or so to")]
+    benchmark = spark.createDataFrame(short, "item_id long, text string")
+    common = "what of the and so it then or to"
+    docs = [(k, f"{sentence(k, 60, 3000)} {common}") for k in range(100)]
+    docs += [(200 + k, f"{sentence(300 + k, 60, 3000)} {text} {common}") for k, text in short]
+    docs += [(300, "zebra"), (301, "quagga zebra\nquagga")]
+    found = contaminated(table(docs), benchmark).collect()
+    wanted = {(200 + k, k) for k, _ in short} | {(202, 1), (204, 3), (300, 1), (301, 1), (301, 2)}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == wanted
