@@ -2,11 +2,13 @@
 
 The mix holds ``share`` times all words. Each source's target is its part of that by weight,
 but at most ``most`` times its own words; what is cut off goes to the others by weight, until
-none is above. The mix is dealt out in blocks of equal words: sources get blocks by highest
+none is above. The mix is dealt out in blocks of equal words, ``LEAST_BLOCKS`` for the smallest
+target at least, so a source of any size has its part: sources get blocks by highest
 quotients (Sainte-Lague, divisors 1, 3, 5, ...), and a source's blocks are dealt out the same
 way to its shards, sets of documents that a seeded hash puts together. In each shard the
 documents stand in a seeded order; its quota takes them from the front, as often as it goes
-round, and cuts the document in which the last block ends.
+round, and cuts the document in which the last block ends. What is above ``most`` times a
+shard's words goes to the source's other shards.
 
 To the driver come one row per source and nothing else. A shard has about ``shard_words``
 words whatever its source's size, so a source with most rows is many shards.
@@ -28,6 +30,7 @@ from tagloom.llm.words import slices, words_of
 
 WEIGHTS = (3, 1, 2)
 BLOCKS = 1 << 16
+LEAST_BLOCKS = 64
 SHARD_WORDS = 1 << 20
 SEED = 23
 
@@ -99,7 +102,7 @@ def apportioned(weights: np.ndarray, seats: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Mix:
-    """Options of a mix; ``blocks`` is how many equal blocks make up the whole."""
+    """Options of a mix; ``blocks`` is how many equal blocks make up the whole at least."""
 
     weights: tuple[int, ...] = WEIGHTS
     share: float = 1.5
@@ -136,7 +139,8 @@ def mixed(
     )
     spark = docs.sparkSession
     wanted = targets([n for _, n in found], mix.weights, mix.share, mix.most)
-    block = max(1, int(sum(wanted)) // mix.blocks)
+    smallest = min((t for t in wanted if t > 0), default=0)
+    block = max(1, min(int(sum(wanted)) // mix.blocks, int(smallest) // LEAST_BLOCKS))
     seats = apportioned(np.array(wanted), round(sum(wanted) / block))
     plan = spark.createDataFrame(
         [
@@ -158,8 +162,10 @@ def mixed(
     def quotas(shards: pd.DataFrame) -> pd.DataFrame:
         shards = shards.sort_values("_shard")
         sizes = shards["_words"].to_numpy()
-        blocks = apportioned(sizes, int(shards["_seats"].iloc[0]))
-        shards["_quota"] = np.minimum(blocks * block, (most * sizes).astype(np.int64))
+        seats, highest = int(shards["_seats"].iloc[0]), (most * sizes).astype(np.int64)
+        quota = np.minimum(apportioned(sizes, seats) * block, highest)
+        left = min(seats * block, int(highest.sum())) - int(quota.sum())
+        shards["_quota"] = quota + apportioned(highest - quota, left)
         return shards[["_number", "_shard", "_words", "_quota"]]
 
     per_shard = counted.groupBy("_number", "_seats", "_shard").agg(F.sum("size").alias("_words"))

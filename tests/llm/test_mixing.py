@@ -68,3 +68,15 @@ def test_documents_of_the_mix(awkward):
 def test_empty_and_wordless(table):
     assert mixed(table([])).count() == 0
     assert [tuple(r)[1:] for r in mixed(table([(1, None), (2, " ")])).collect()] == [(0, 0, 0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("blocks, n, shard_words", [(1 << 16, 1, 1 << 20), (64, 100, 1 << 20), (64, 100, 100)])
+def test_a_small_source_beside_a_large_one(table, blocks, n, shard_words):
+    # "a" has 5 or 1,000 words, "b" a million; with weights 3 and 1 all of "a" is wanted twice.
+    docs = [(k, "w " * (5 if n == 1 else 10), "en", "a", 0) for k in range(n)]
+    docs += [(1000 + k, "w " * 10_000, "en", "b", 0) for k in range(100)]
+    found = mixed(table(docs), mix=Mix(blocks=blocks, shard_words=shard_words)).collect()
+    for small in (True, False):
+        rows = [r for r in found if (r["doc_id"] < 1000) == small]
+        target, taken = rows[0]["target"], sum(r["taken"] for r in rows)
+        assert abs(taken - target) <= target / 64
