@@ -13,7 +13,7 @@
    item's answer is there too: its column ``answer``, or else its last ``ANSWER_WORDS`` words.
 5. Passages with few informative words, such as those of a leak so wide that its own words are
    common, are looked for a second time, with all words at one weight, if they have ``PLAIN``
-   words or more. And every passage, of whatever words, is looked for as a run of words: seeds
+   words or more; a paraphrase has ``PLAIN_PARAPHRASE`` of them then. And every passage, of whatever words, is looked for as a run of words: seeds
    of up to ``SEED_WORDS`` words are found by hash, and the whole run is compared.
 
 Documents are streamed once for every ``SPACES`` latent spaces and ``ITEMS`` items at most, which
@@ -44,6 +44,7 @@ VERBATIM, PARAPHRASE = 0.8, 0.5
 ANSWER_WORDS, ANSWER = 4, 0.75
 LEAST_WORDS = 3  # informative words that a window shares with the benchmark
 PLAIN = 12  # shorter passages of common words are in most texts by chance, unless as a run
+PLAIN_PARAPHRASE = 2 / 3  # and so is half of a longer one, word by word
 SEED_WORDS = 8
 
 
@@ -83,6 +84,7 @@ class Passages:
     answers: list[list[int]]
     weights: np.ndarray  # of each bucket of words
     least: int  # words of the vocabulary that a window has
+    paraphrase: float  # share of the passage that a paraphrase has
     vocabulary: np.ndarray  # hashes of words with a weight, in order
     space: np.ndarray | None = None  # vocabulary x rank, weights included
     folded: np.ndarray | None = None  # passages x rank, unit length before folding
@@ -142,8 +144,9 @@ def blocks_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray) -
     alike = np.ones_like(weights)
     for low in range(0, len(lists), SPACES * RANK):
         every = range(low, min(low + SPACES * RANK, len(lists)))
-        parts = _spaces([k for k in every if own_weights[k].any()], items, lists, answers, weights, LEAST_WORDS)
-        parts += _spaces([k for k in every if _few_informative(own_weights[k])], items, lists, answers, alike, 1)
+        parts = _spaces([k for k in every if own_weights[k].any()], items, lists, answers, weights, LEAST_WORDS, PARAPHRASE)
+        few = [k for k in every if _few_informative(own_weights[k])]
+        parts += _spaces(few, items, lists, answers, alike, 1, PLAIN_PARAPHRASE)
         seeds = []
         for k in every:  # the run of most weight
             sums = np.convolve(own_weights[k], np.ones(_seed_words(len(lists[k]))), "valid")
@@ -153,7 +156,7 @@ def blocks_of(rows: list[tuple[object, str, str | None]], weights: np.ndarray) -
 
 def _spaces(
     which: list[int], items: list[object], lists: list[list[int]], answers: list[list[int]],
-    weights: np.ndarray, least: int,
+    weights: np.ndarray, least: int, paraphrase: float,
 ) -> list[Passages]:
     out = []
     for low in range(0, len(which), RANK):
@@ -161,7 +164,10 @@ def _spaces(
         every = np.unique(np.array([h for k in some for h in lists[k]], dtype=np.uint64))
         known = every[weights[_bucket(every)] > 0]
         out.append(
-            Passages([items[k] for k in some], [lists[k] for k in some], [answers[k] for k in some], weights, least, known)
+            Passages(
+                [items[k] for k in some], [lists[k] for k in some], [answers[k] for k in some],
+                weights, least, paraphrase, known,
+            )
         )
     return out
 
@@ -285,7 +291,7 @@ class Search:
         share = common_subsequence(wanted, seen) / len(wanted)
         if share >= VERBATIM:
             return "verbatim", share
-        if share >= PARAPHRASE:
+        if share >= self.passages.paraphrase:
             answer = self.passages.answers[passage]
             if common_subsequence(answer, seen) >= ANSWER * len(answer):
                 return "paraphrase", share
