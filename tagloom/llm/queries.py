@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm.conversation_trie import Borrowing, prefix_trie
 from tagloom.llm.decontamination import contaminated
 from tagloom.llm.language_id import identify, learn_profiles
+from tagloom.llm.lexical_search import ranked_documents
 from tagloom.llm.mixing import mixed
 from tagloom.llm.nearest import nearest
 from tagloom.llm.ngram_join import similar_documents
@@ -16,6 +19,7 @@ from tagloom.llm.quality import quality
 from tagloom.llm.scratch import Scratch, crc_of_id, let_workers_import, read
 from tagloom.llm.sharding import write_shards
 from tagloom.llm.substring_dedup import removed_passages
+from tagloom.llm.token_counts import load_vocabulary, token_counts
 from tagloom.llm.toxicity import scored, train
 from tagloom.llm.url_filter import Rule, judged_urls
 
@@ -102,6 +106,19 @@ def _quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality(read(spark, sf, "documents"), trusted_ids(spark, sf))
 
 
+def _prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(read(spark, sf, "conversations"), Borrowing(family=5, spread=9))
+
+
+def _token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = load_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts(read(spark, sf, "documents"), vocabulary, limit=1024)
+
+
+def _lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_documents(read(spark, sf, "documents"), read(spark, sf, "benchmark"), k=20)
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         let_workers_import(spark)
@@ -122,6 +139,9 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": _decontamination,
         "op9_nearest": _nearest,
         "op10_quality": _quality,
+        "op11_prefix_trie": _prefix_trie,
+        "op12_token_counts": _token_counts,
+        "op13_lexical_search": _lexical_search,
     }
     return {name: _ready(query) for name, query in found.items()}
 
@@ -173,5 +193,95 @@ from texts t join reached r on r.doc_id = t.doc_id left join sizes s on s.doc_id
 group by t.doc_id, s.n"""
 
 
+# Fixed value: the polynomial of crc32, whose bits are taken one by one.
+_CRC32 = """
+  select conv_id, decimal, 0 as bit, 4294967295::bigint as state
+  from (select distinct conv_id, conv_id::varchar as decimal from conversations where conv_id is not null)
+  union all
+  select conv_id, decimal, bit + 1, case when mixed & 1 = 1 then xor(mixed >> 1, 3988292384) else mixed >> 1 end
+  from (select *, case when bit % 8 = 0 then xor(state, ascii(substr(decimal, (bit // 8 + 1)::int, 1))::bigint)
+      else state end as mixed
+    from crc where bit < 8 * length(decimal))"""
+
+_TRIE_SQL = f"""
+with recursive crc as ({_CRC32}),
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, md5(
+      concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) - 1 as place
+  from conversations where conv_id is not null),
+lengths as (select conv_id, count(*) as n from turns group by conv_id),
+convs as (
+  select c.conv_id, c.conv_id - c.conv_id % 5 as base, xor(state, 4294967295) % 9 as h,
+    least(xor(state, 4294967295) % 9, coalesce(b.n, 0)) as borrowed
+  from crc c left join lengths b on b.conv_id = c.conv_id - c.conv_id % 5
+  where bit = 8 * length(decimal)),
+rebuilt as (
+  select c.conv_id, t.place, t.role, t.text
+  from convs c join turns t on t.conv_id = c.base and t.place < c.h
+  union all
+  select c.conv_id, t.place - c.h + c.borrowed, t.role, t.text
+  from convs c join turns t on t.conv_id = c.conv_id and t.place >= c.h),
+paths as (
+  select conv_id, text, list([role, text]) over (
+    partition by conv_id order by place rows between unbounded preceding and current row) as path
+  from rebuilt),
+members as (
+  select conv_id, path, strlen(text) as size from paths
+  union all
+  select conv_id, []::varchar[][], 0 from convs),
+ends as (
+  select path, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+  from (select conv_id, path from members qualify row_number() over (partition by conv_id order by len(path) desc) = 1)
+  group by path),
+nodes as (
+  select path, len(path) as depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(size) as saved
+  from members group by path),
+children as (select path[:-2] as path, count(*) as n from nodes where depth > 0 group by 1),
+above as (select path, unnest(range(0, depth + 1)) as d, saved from nodes),
+subtrees as (
+  select a.path[:a.d] as path, sum(a.saved)::bigint as saved_tokens, count(*) filter (c.n is null) as n_leaves
+  from above a left join children c on c.path = a.path group by 1)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n, 0) as n_children, s.n_leaves,
+  s.saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from nodes n join subtrees s on s.path = n.path left join children c on c.path = n.path
+  left join nodes p on n.depth > 0 and p.path = n.path[:-2] left join ends e on e.path = n.path"""
+
+
+_TERMS_SQL = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+_SEARCH_SQL = f"""
+with texts as (select row_number() over () as row, doc_id, {_TERMS_SQL} as terms from documents),
+wanted as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest({_TERMS_SQL}) as term from benchmark) group by all),
+totals as (select count(*) filter (len(terms) > 0) as documents, sum(len(terms))::bigint as total from texts),
+each_term as (select row, doc_id, len(terms) as n, unnest(terms) as term from texts),
+often as (
+  select row, doc_id, n, term, count(*) as tf
+  from each_term where term in (select term from wanted) group by all),
+holding as (select term, count(*) as df from often group by term),
+weights as (
+  select term, floor(1000 * ln((2 * documents + 2)::double / (2 * df + 1)::double))::bigint as w from holding, totals),
+parts as (
+  select row, doc_id, term,
+    w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * documents) // total))) as part
+  from often join weights using (term), totals),
+scores as (
+  select item_id, row, doc_id, sum(times * part)::bigint as score from wanted join parts using (term) group by all),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+  from scores where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_join": _NGRAM_SQL, "op4_substring_dedup": _SUBSTRING_SQL}
+    return {
+        "op3_ngram_join": _NGRAM_SQL,
+        "op4_substring_dedup": _SUBSTRING_SQL,
+        "op11_prefix_trie": _TRIE_SQL,
+        "op13_lexical_search": _SEARCH_SQL,
+    }

@@ -1,6 +1,7 @@
 """Words of whole text columns as 64-bit hashes, without a Python object per word.
 
-A word is a longest run of bytes other than space and ``\\t``..``\\r``. Its hash is a
+A word is a longest run of bytes other than space and ``\\t``..``\\r``, or than other bytes
+that a caller names as gaps (a space must be among them). Its hash is a
 polynomial over its bytes, read off running sums over the text, and then mixed;
 two different words share one with a chance of about 2**-62. A null text has no words.
 """
@@ -66,8 +67,10 @@ def _byte_values(fold_case: bool) -> np.ndarray:
 _VALUES = {fold: _byte_values(fold) for fold in (False, True)}
 
 
-def _hash_piece(data: np.ndarray, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    inside = ~_SPACES[data]
+def _hash_piece(
+    data: np.ndarray, fold_case: bool, gaps: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    inside = ~gaps[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -77,20 +80,20 @@ def _hash_piece(data: np.ndarray, fold_case: bool) -> tuple[np.ndarray, np.ndarr
 
 
 def word_hashes(
-    data: np.ndarray, fold_case: bool = False
+    data: np.ndarray, fold_case: bool = False, gaps: np.ndarray = _SPACES
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words in some UTF-8 bytes, and where each begins and ends."""
     found, at = [], 0
     while at < len(data):
         end = min(at + PIECE_BYTES, len(data))
         if end < len(data):  # back to the last space; on to the next if a word fills the piece
-            gaps = np.flatnonzero(_SPACES[data[at:end]])
-            if len(gaps):
-                end = at + int(gaps[-1]) + 1
+            cuts = np.flatnonzero(gaps[data[at:end]])
+            if len(cuts):
+                end = at + int(cuts[-1]) + 1
             else:
-                while end < len(data) and not _SPACES[data[end]]:
+                while end < len(data) and not gaps[data[end]]:
                     end += 1
-        hashes, starts, ends = _hash_piece(data[at:end], fold_case)
+        hashes, starts, ends = _hash_piece(data[at:end], fold_case, gaps)
         found.append((hashes, starts + at, ends + at))
         at = end
     if not found:
@@ -132,9 +135,9 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return spaced, offsets + np.arange(len(offsets))
 
 
-def words_of(column: pa.Array, fold_case: bool = False) -> Words:
+def words_of(column: pa.Array, fold_case: bool = False, gaps: np.ndarray = _SPACES) -> Words:
     data, begins = _bytes_of(column)
-    hashes, starts, ends = word_hashes(data, fold_case)
+    hashes, starts, ends = word_hashes(data, fold_case, gaps)
     return Words(hashes, starts, ends, np.searchsorted(starts, begins), data)
 
 
