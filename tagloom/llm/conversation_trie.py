@@ -535,13 +535,19 @@ def _shards(rows: DataFrame, scratch: Scratch, most: int, root_is_spine: bool) -
     return found
 
 
-def _merged(parts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """All nodes with their parents, and the merged spines with their keys."""
+def _merged(parts: DataFrame, scratch: Scratch, roots: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """All nodes with their parents, and the merged spines with their keys.
+
+    ``roots`` has the least conversations (``ended``) that end at a later band's roots, by ``key``."""
     sums = [F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]
     spine = parts.where(F.col("kind") == SPINE)
-    merged = scratch.keep(
-        spine.groupBy("key", "parent_key", "depth").agg(F.min("conv_id").alias("conv_id"), *sums, F.max("ends_sha256").alias("ends_sha256"))
+    merged = spine.groupBy("key", "parent_key", "depth").agg(
+        F.min("conv_id").alias("conv_id"), *sums, F.max("ends_sha256").alias("ends_sha256")
     )
+    if roots is not None:
+        merged = merged.join(roots.select("key", "ended"), "key", "left")
+        merged = merged.withColumn("conv_id", F.least("conv_id", "ended")).drop("ended")
+    merged = scratch.keep(merged)
     of_key = merged.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
     # A spine's children look their parent up within their own shard: the root's would all meet otherwise.
     in_shard = spine.select("shard", F.col("key").alias("parent_key")).join(of_key, "parent_key")
@@ -565,8 +571,10 @@ def _chain_nodes(band: int):
                 if not r["more"]:
                     hashes[-1], children[-1] = r["ids_sha256"], 0
                 same = np.full(n, r["conv_id"])
+                parent = same.copy()
+                parent[0] = r["parent"]
                 arrays = [
-                    same, r["band"] * band + np.arange(1, n + 1), same, np.full(n, r["n"]), children,
+                    same, r["band"] * band + np.arange(1, n + 1), parent, np.full(n, r["n"]), children,
                     np.ones(n, dtype=np.int64), (r["n"] - 1) * rest, hashes,
                 ]
                 kinds = [pa.int64()] * 7 + [pa.string()]
@@ -600,6 +608,11 @@ def prefix_trie(
     on = ["band", "root1", "root2"]
     in_trie = slim.where("band = 0").unionByName(slim.where("band > 0").join(shared, on, "left_semi"))
     alone = slim.where("band > 0").join(shared, on, "left_anti")
+    # A class that ends where another one's band does is that band's parent too.
+    ended = slim.where((~F.col("more")) & (F.col("turns") == band)).select(
+        F.col("end1").alias("root1"), F.col("end2").alias("root2"), (F.col("band") + 1).alias("band"), F.col("conv_id").alias("ended")
+    )
+    alone = alone.join(ended, on, "left").withColumn("parent", F.least("conv_id", "ended"))
     full = alone.join(bands, ["conv_id", "band"])
     tables = [full.mapInArrow(_chain_nodes(band), NODES)]
     roots: DataFrame | None = None
@@ -612,15 +625,22 @@ def prefix_trie(
             below = {c: F.coalesce(F.col(f"root_{c}"), value) for c, value in below.items()}
         rows = rows.withColumns({c: F.when(F.col("more"), value.cast("long")) for c, value in below.items()})
         rows = rows.withColumn("ids_sha256", F.when(~F.col("more"), F.col("ids_sha256")))
-        nodes, spines = _merged(_shards(rows, scratch, shard, level > 0), scratch)
+        parts = _shards(rows, scratch, shard, level > 0)
         if level > 0:
+            keys = in_trie.where(F.col("band") == level).select(*on).distinct().join(ended, on, "left")
+            keys = keys.select("root1", "root2", "ended").mapInArrow(_root_keys, "next1 long, next2 long, ended long, key binary")
+            keys = scratch.keep(keys)
+            nodes, spines = _merged(parts, scratch, keys)
             nodes = nodes.where("depth > 0")
-            totals = spines.where("depth = 0").select("key", *(F.col(a).alias(f"root_below_{b}") for a, b in (
-                ("n_children", "children"), ("n_leaves", "leaves"), ("saved_tokens", "saved"))))
-            keys = in_trie.where(F.col("band") == level).select("root1", "root2").distinct().mapInArrow(
-                _root_keys, "next1 long, next2 long, key binary"
+            totals = spines.where("depth = 0").select(
+                "key",
+                F.col("n_children").alias("root_below_children"),
+                F.col("n_leaves").alias("root_below_leaves"),
+                F.col("saved_tokens").alias("root_below_saved"),
             )
-            roots = scratch.keep(keys.join(totals, "key").drop("key"))
+            roots = scratch.keep(keys.join(totals, "key").drop("key", "ended"))
+        else:
+            nodes, _ = _merged(parts, scratch)
         tables.append(nodes.withColumn("depth", F.col("depth") + level * band))
     whole = reduce(DataFrame.unionByName, tables)
     return whole.withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(_NOTHING)))
@@ -630,4 +650,4 @@ def _root_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         roots = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)], axis=1)
         keys = [hashlib.md5(r.tobytes()).digest() for r in roots]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=["next1", "next2", "key"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=["next1", "next2", "ended", "key"])
