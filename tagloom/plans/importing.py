@@ -17,10 +17,11 @@ from tagloom.operators.references import null_dangling
 from tagloom.schemas import ENTITIES, REPAIRED_KEYS
 from tagloom.session import one_work_folder, remove_folder, settled, side_by_side
 from tagloom.sinks.tables import refresh_post_tags, table_path, write_tables
-from tagloom.sources.site import load_site
+from tagloom.sources.site import entity_files, load_site
+from tagloom.sources.xml_blocks import xml_errors
 from tagloom.sources.xml_rows import CORRUPT, POSITION, corrupt_rows, good_rows
 
-QUARANTINE = "quarantine"
+QUARANTINE, MALFORMED = "quarantine", "malformed"
 
 
 def stage_sites(
@@ -92,6 +93,10 @@ def merge_sites(spark: SparkSession, sites: Sequence[Mapping[str, DataFrame]]) -
     return tables
 
 
+def _errors(spark: SparkSession, path: str) -> DataFrame:
+    return settled(xml_errors(spark, path))
+
+
 def import_sites(
     spark: SparkSession,
     site_dirs: Sequence[str],
@@ -102,13 +107,15 @@ def import_sites(
 ) -> None:
     """Rebuild the store from the unpacked dumps of the sites, in order.
 
-    Text of malformed rows goes to ``<store>/quarantine``; with
-    ``mode="failfast"`` the first one stops the import. Staged rows lie in one
+    Text of malformed rows goes to ``<store>/quarantine``, and the first place of each file that is
+    not well-formed to ``<store>/malformed``; with ``mode="failfast"`` either stops the import. Staged rows lie in one
     folder below the shared work folder, named in the log, which is removed when
     the store is written unless ``keep_staged`` is set.
     """
     with one_work_folder(spark) as folder:
         sites = stage_sites(spark, site_dirs, mode, bad_time)
+        places = [(d, name, path) for d in site_dirs for name, path in entity_files(spark, d).items()]
+        errors = side_by_side(spark, [partial(_errors, spark, path) for _, _, path in places])
         write_tables(spark, merge_sites(spark, sites), store)
         refresh_post_tags(spark, store)
         corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
@@ -117,5 +124,10 @@ def import_sites(
                 source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
                 corrupt = corrupt.unionByName(corrupt_rows(df).select(*source, CORRUPT))
         corrupt.write.mode("overwrite").parquet(table_path(store, QUARANTINE))
+        malformed = spark.createDataFrame([], "site_dir string, entity string, file string, message string, record string")
+        for (site_dir, name, _), found in zip(places, errors):
+            source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
+            malformed = malformed.unionByName(found.select(*source, "file", "message", "record"))
+        malformed.write.mode("overwrite").parquet(table_path(store, MALFORMED))
     if not keep_staged:
         remove_folder(spark, folder)

@@ -27,6 +27,13 @@ def entity_file(files: dict[str, str], entity: Entity) -> str | None:
     return next((path for name, path in files.items() if wanted in name.lower()), None)
 
 
+def entity_files(spark: SparkSession, site_dir: str) -> dict[str, str]:
+    """Entity -> path of its file. An entity without one is left out."""
+    files = xml_files(spark, site_dir)
+    paths = {name: entity_file(files, entity) for name, entity in ENTITIES.items()}
+    return {name: path for name, path in paths.items() if path is not None}
+
+
 def ingest(
     spark: SparkSession,
     path: str,
@@ -44,12 +51,8 @@ def load_site(
     spark: SparkSession, site_dir: str, mode: str = "quarantine", bad_time: str = "sentinel"
 ) -> dict[str, DataFrame]:
     """Entity -> rows of one site. An entity without a file is left out."""
-    files = xml_files(spark, site_dir)
-    tables = {}
-    for name, entity in ENTITIES.items():
-        path = entity_file(files, entity)
-        if path is None:
+    files = entity_files(spark, site_dir)
+    for name in ENTITIES:
+        if name not in files:
             log.warning("%s: no file for %s, skipped", site_dir, name)
-            continue
-        tables[name] = ingest(spark, path, entity, mode, bad_time)
-    return tables
+    return {name: ingest(spark, path, ENTITIES[name], mode, bad_time) for name, path in files.items()}

@@ -2,8 +2,9 @@
 
 Built-in XML reading keeps a multi-line file in one task, and limits the length of
 an attribute. Here the text source splits the file at every tag, so one big file is
-read by many tasks and a row may lie on part of a line, one line or several. A tag's
-attributes are taken apart by string functions, whatever their length.
+read by many tasks and a row may lie on part of a line, one line or several. One pattern
+finds where a tag ends; one split at its quotes then gives names and values in turn, and a column is
+a lookup among the names, whatever the number of attributes.
 """
 
 from __future__ import annotations
@@ -13,19 +14,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.sources.xml_blocks import (
+    ATTRIBUTE,
+    BAD_REFERENCE,
+    PREFIX,
+    RECORD,
+    block_events,
+    outside_sections,
+    records,
+    section_spans,
+    xml_errors,
+)
+
 POSITION = "_position"  # where the row was in the file; orders rows as the file does
 CORRUPT = "_corrupt_record"  # the text of a malformed row, else NULL
 
 MODES = ("quarantine", "failfast")
 
-# The parts of a tag, and the five entities that XML names.
-_PREFIX = r"(?:[^\s/>=:\"']+:)?"
-_ATTRIBUTE = r"\s+[^\s=/>\"']+\s*=\s*(?:\"[^\"]*\"|'[^']*')"
-_ROW = rf"^{_PREFIX}row(?=[\s/>]|\z)"
-_WHOLE = rf"^{_PREFIX}row((?:{_ATTRIBUTE})*)\s*/?>"
-_EACH = r"\s+([^\s=/>\"']+)\s*=\s*(\"[^\"]*\"|'[^']*')"
-_BAD_REFERENCE = r"&(?!(?:lt|gt|amp|quot|apos|#[0-9]{1,7}|#x[0-9A-Fa-f]{1,6});)"
-_NAMED = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
+# A row's tag, the same as dumps usually write it, one attribute, and references to
+# characters that are no part of another reference.
+_ROW = r"^row(?=[\s/>]|\z)"
+_PREFIXED_ROW = rf"^{PREFIX}row(?=[\s/>]|\z)"
+_WHOLE = rf"^{PREFIX}row((?:{ATTRIBUTE})*+\s*/?>)"
+_USUAL = r"^row((?: [^\s=/>\"':]+=\"[^\"\t\r\n]*+\")*+ ?/?>)"
+_EACH = r"\s+([^\s=/>\"']+)\s*=\s*(\"[^\"]*+\"|'[^']*+')"
+_NAMED = {"lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_NUMBERED = {"#xA": "\n", "#xD": "\r", "#x9": "\t"}
 
 
 def _code_point(number: Column) -> Column:
@@ -33,9 +47,8 @@ def _code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
 
 
-def _plain(value: Column) -> Column:
-    """A quoted value's text: white space reads as a space, references as what they name."""
-    inside = F.regexp_replace(F.substring(value, F.lit(2), F.length(value) - 2), r"\r\n|[\t\n\r]", " ")
+def _numbered(value: Column) -> Column:
+    """A value with references by number resolved, one by one."""
 
     def resolved(piece: Column, i: Column) -> Column:
         name = F.substring_index(piece, ";", 1)
@@ -44,12 +57,49 @@ def _plain(value: Column) -> Column:
             F.hex(F.substring(name, F.lit(2), F.length(name)).try_cast("bigint"))
         )
         character = _code_point(number)
-        for known, text in _NAMED.items():
+        for known, text in {**_NAMED, "amp": "&"}.items():
             character = F.when(name == known, F.lit(text)).otherwise(character)
         return F.when(i == 0, piece).otherwise(F.concat(character, rest))
 
-    joined = F.array_join(F.transform(F.split(inside, "&"), resolved), "")
-    return F.when(inside.contains("&"), joined).otherwise(inside)
+    return F.array_join(F.transform(F.split(value, "&"), resolved), "")
+
+
+def _plain(value: Column) -> Column:
+    """What the references in a value name. The usual ones need no list; ``&amp;`` comes last, so
+    that what it leaves is not taken for another reference."""
+    usual = value
+    for name, text in {**_NUMBERED, **_NAMED}.items():
+        usual = F.replace(usual, F.lit(f"&{name};"), F.lit(text))
+    usual = F.when(usual.contains("&#"), _numbered(value)).otherwise(F.replace(usual, F.lit("&amp;"), F.lit("&")))
+    return F.when(value.contains("&"), usual).otherwise(value)
+
+
+def _unusual_parts(tag: Column) -> Column:
+    """The parts of a tag with single quotes, prefixes or other spaces, as if it were a usual one."""
+    each = F.arrays_zip(
+        F.regexp_extract_all(tag, F.lit(_EACH), F.lit(1)).alias("name"), F.regexp_extract_all(tag, F.lit(_EACH), F.lit(2)).alias("value")
+    )
+    pairs = F.transform(
+        each,
+        lambda e: F.array(
+            F.concat(F.lit(" "), F.substring_index(e["name"], ":", -1), F.lit("=")),
+            F.substring(e["value"], F.lit(2), F.length(e["value"]) - 2),
+        ),
+    )
+    return F.concat(F.flatten(pairs), F.array(F.lit("/>")))
+
+
+def _spaced(tag: Column) -> Column:
+    """White space of a tag, within values or not, reads as spaces; a line end as one."""
+    return F.translate(F.replace(tag, F.lit("\r\n"), F.lit(" ")), "\t\n\r", "   ")
+
+
+def _refused(spark: SparkSession, attributes: Sequence[str], message: str) -> DataFrame:
+    """Rows of a file that is not well-formed: any job on them stops with the message."""
+    empty = F.lit(None).cast("string")
+    place = F.struct(F.lit("").alias("file"), *[F.lit(0).cast("long").alias(c) for c in ("block", "row", "again")])
+    stop = F.raise_error(F.concat(F.lit(message), F.col("id").cast("string"))).cast("string").isNull()
+    return spark.range(1).where(stop).select(*[empty.alias(a) for a in attributes], empty.alias(CORRUPT), place.alias(POSITION))
 
 
 def read_xml_rows(
@@ -59,45 +109,49 @@ def read_xml_rows(
 
     ``path`` is a file or a folder of part files. Every start tag whose local name is
     ``row`` is a row, at any depth; attributes go by their local names, and of a repeated
-    one the last counts. Other elements are ignored, as is a row whose comment or CDATA
-    section ends right after it. A malformed row keeps its text in the corrupt column, or
-    with ``mode="failfast"`` stops the job.
+    one the last counts. Other elements are ignored, as is what stands in a comment, a CDATA
+    section, an instruction or a document type, over however many tags they go: one pass over the
+    text looks for those first. A malformed row keeps its text in the corrupt column. With
+    ``mode="failfast"`` it stops the job, as does whatever else is not well-formed in a file.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    records = spark.read.text(path, lineSep="<").select("value", "_metadata")
+    if mode == "failfast":
+        error = xml_errors(spark, path).orderBy("file").first()
+        if error is not None:
+            return _refused(spark, attributes, f"malformed: {error['message']} in {error['file']}: <{error['record']}")
+    found = records(spark, path)
     value = F.col("value")
-    rows = records.where(value.rlike(_ROW))
-    # The row number grows along a block, whatever else the task reads; standing in the
-    # projection that takes the rows apart it also keeps filters from doing so twice.
-    split = rows.select(
-        value,
-        F.regexp_extract(value, _WHOLE, 0).alias("tag"),
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(POSITION),
-    )
-    after = F.substring(value, F.length("tag") + 1, F.length(value))
-    tag = F.regexp_extract("tag", _WHOLE, 1)
-    bad = (F.col("tag") == "") | tag.rlike(_BAD_REFERENCE)
-    names = F.transform(F.regexp_extract_all(tag, F.lit(_EACH), F.lit(1)), lambda n: F.substring_index(n, ":", -1))
-    parts = split.select(
-        F.when(bad, F.concat(F.lit("<"), value)).alias(CORRUPT),
-        F.when(~bad, F.arrays_zip(names.alias("name"), F.regexp_extract_all(tag, F.lit(_EACH), F.lit(2)).alias("value"))).alias("pairs"),
-        (after.contains("-->") | after.contains("]]>")).alias("outside"),
-        POSITION,
-    ).where("not outside")
+    sections = section_spans(block_events(found))
+    is_row = F.when(value.startswith("row"), value.rlike(_ROW)).otherwise(value.contains(":row") & value.rlike(_PREFIXED_ROW))
+    rows = outside_sections(found.where(is_row), sections[0] if sections else None)
+    usual = F.regexp_extract(value, _USUAL, 1)
+    # The second number says nothing new; as it can't be computed twice, it keeps filters above
+    # this projection, where they would take rows apart once more.
+    place = F.struct(*RECORD, F.monotonically_increasing_id().alias("again"))
+    tags = rows.select("value", usual.alias("usual"), place.alias(POSITION))
+    other = _spaced(F.regexp_extract(value, _WHOLE, 1))
+    tags = tags.select("value", F.when(F.col("usual") != "", F.col("usual")).otherwise(other).alias("tag"), (F.col("usual") != "").alias("usual"), POSITION)
+    tag = F.col("tag")
+    bad = (tag == "") | (tag.contains("&") & tag.rlike(BAD_REFERENCE))
+    shaped = tags.select(F.when(bad, F.concat(F.lit("<"), value)).alias(CORRUPT), F.when(~bad, tag).alias("tag"), "usual", POSITION)
     if mode == "failfast":
         stop = F.raise_error(F.concat(F.lit("malformed row: "), F.substring(CORRUPT, 1, 200)))
-        parts = parts.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), stop))
+        shaped = shaped.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), stop))
+    # Alternately a name, as it stands in a usual tag, and a value.
+    parts = F.when(F.col("usual"), F.split("tag", '"')).otherwise(_unusual_parts(tag))
+    shaped = shaped.select(parts.alias("parts"), CORRUPT, POSITION)
+    # From the last to the first, so that the last of a name is found.
+    names = F.reverse(F.filter("parts", lambda _, i: i % 2 == 0))
+    shaped = shaped.select("parts", names.alias("names"), CORRUPT, POSITION)
 
     def last(attribute: str) -> Column:
-        mine = F.filter("pairs", lambda p: p["name"] == attribute)
-        return _plain(F.try_element_at(mine, F.lit(-1))["value"]).alias(attribute)
+        place = F.size("names") + 1 - F.array_position("names", f" {attribute}=")
+        return F.try_element_at("parts", (place * 2).cast("int")).alias(attribute)
 
-    return parts.select(*[last(a) for a in attributes], CORRUPT, POSITION)
+    # Values are picked before they are resolved, so that each is picked once.
+    picked = shaped.select(*[last(a) for a in attributes], CORRUPT, POSITION)
+    return picked.select(*[_plain(F.col(a)).alias(a) for a in attributes], CORRUPT, POSITION)
 
 
 def good_rows(rows: DataFrame) -> DataFrame:

@@ -172,3 +172,9 @@ def test_json_keeps_nulls_and_types(spark, tmp_path, rows):
 def test_json_of_no_rows(spark, tmp_path):
     path = write_json(spark.range(0), str(tmp_path), "none")
     assert lines(path) == []
+
+
+def test_files_that_are_not_well_formed_are_named(spark, imported):
+    found = spark.read.parquet(table_path(imported[1], "malformed")).collect()
+    assert [(r["entity"], r["message"]) for r in found] == [("posts", "malformed tag")]
+    assert found[0]["record"].startswith('row Id="6"')

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.fixtures import write_xml
 from tagloom.schemas import ENTITIES
 from tagloom.sources.site import entity_file, ingest, load_site, xml_files
+from tagloom.sources.xml_blocks import xml_errors
 from tagloom.sources.xml_rows import POSITION, corrupt_rows, good_rows, read_xml_rows
 
 EDGE_POSTS = """<?xml version="1.0" encoding="utf-8"?>
@@ -188,3 +189,141 @@ def test_a_final_line_break_spoils_numbers_and_times(spark, xml):
     text = '<a><row Id="5&#xA;" CreationDate="2011-01-03T20:52:52.880&#xA;" ParentId="7&#xA;"/></a>'
     row = good_rows(ingest(spark, xml(text), ENTITIES["posts"])).first()
     assert (row["id"], row["parent_id"], row["creation_date"]) == (0, 0, datetime.datetime(1, 1, 1))
+
+
+def test_a_row_with_very_many_attributes(spark, xml):
+    many = " ".join(f'a{i}="{i}"' for i in range(100_000))
+    df = read_xml_rows(spark, xml(f'<a><row Id="1" {many} T="x"/><row Id="2" {many} T=x/></a>'), ["Id", "T", "a77777"])
+    assert attribute_rows(df, "Id", "T", "a77777") == [("1", "x", "77777")]
+    assert corrupt_rows(df).count() == 1
+
+
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def numbered(low, high):
+    return "\n".join(f'<row Id="{i}" T="t"/>' for i in range(low, high))
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [("<!--", "-->"), ("<![CDATA[", "]]>"), ("<?note ", "?>"), ("<!DOCTYPE a [ <!ENTITY x 'y'> ", " ] >")],
+)
+def test_rows_in_sections_over_many_blocks_are_dropped(spark, xml, small_blocks, opening, closing):
+    text = f"<a>{numbered(0, 100)}{opening}{numbered(100, 1100)}{closing}{numbered(1100, 1200)}{opening}{numbered(1200, 1203)}{closing}<row Id='x'/></a>"
+    df = read_xml_rows(spark, xml(text), ["Id"])
+    assert df.rdd.getNumPartitions() > 20
+    assert attribute_rows(df, "Id") == [*((str(i),) for i in (*range(100), *range(1100, 1200))), ("x",)]
+    assert corrupt_rows(df).count() == 0
+
+
+def test_section_ends_in_values_mean_nothing(spark, xml, small_blocks):
+    rows = "".join(f'<row Id="{i}" T="--> ]]> ?> ]>"/>' for i in range(200))
+    df = read_xml_rows(spark, xml(f"<a>{rows}<!-- <b> <row Id='no'/>--> {rows}<!----></a>"), ["Id", "T"])
+    assert attribute_rows(df, "Id", "T") == [(str(i), "--> ]]> ?> ]>") for i in range(200)] * 2
+
+
+def test_sections_of_one_file_leave_the_others_alone(spark, tmp_path):
+    folder = tmp_path / "Posts.xml"
+    folder.mkdir()
+    (folder / "part-0").write_text("<a><row Id='1'/><!-- <row Id='2'/>")
+    (folder / "part-1").write_text("<a><row Id='3'/></a>")
+    assert sorted(attribute_rows(read_xml_rows(spark, str(folder), ["Id"]), "Id")) == [("1",), ("3",)]
+
+
+def first_error(text):
+    """The nesting that a reader of one file after the other would accept, record by record."""
+    import re
+
+    at, open_tags = 0, []
+    while (at := text.find("<", at)) >= 0:
+        rest = text[at:]
+        for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<?", "?>")):
+            if rest.startswith(opening):
+                end = rest.find(closing, len(opening))
+                if end < 0:
+                    return "end"
+                if opening == "<!--" and "--" in rest[4:end]:
+                    return "comment"
+                at += end + len(closing)
+                break
+        else:
+            tag = re.match(r"""<(/?)([a-z]+)((?:\s+[a-zA-Z]+=(?:"[^"<]*"|'[^'<]*'))*)\s*(/?)>""", rest)
+            if not tag or (tag[1] and (tag[3] or tag[4])):
+                return "tag"
+            if tag[1]:
+                if not open_tags or open_tags.pop() != tag[2]:
+                    return "nesting"
+            elif not tag[4]:
+                open_tags.append(tag[2])
+            at += tag.end()
+    return "end" if open_tags else None
+
+
+PARTS = ["<a>", "</a>", "<b>", "</b>", '<row Id="1"/>', "<row Id='2' T=\"y\"></row>", "text", "<!-- <b> -->", "<![CDATA[</a>]]>",
+         "<!-- x", "-->", "<? p ?>", "<row", "<row Id=1/>", "\n"]
+WEIGHTS = [6, 6, 6, 6, 8, 6, 4, 2, 2, 0.2, 0.2, 1, 0.1, 0.1, 4]
+
+
+def test_errors_of_random_files(spark, tmp_path):
+    rng, expected = random.Random(11), {}
+    folder = tmp_path / "Posts.xml"
+    folder.mkdir()
+    for i in range(120):
+        if i % 2:  # well nested, then perhaps one part too many
+            text, open_tags = "", []
+            for _ in range(rng.randint(0, 40)):
+                part = rng.choices(PARTS[:9], k=1)[0]
+                if part in ("</a>", "</b>"):
+                    text += f"</{open_tags.pop()}>" if open_tags else ""
+                    continue
+                if part in ("<a>", "<b>"):
+                    open_tags.append(part[1])
+                text += part
+            text += "".join(f"</{t}>" for t in reversed(open_tags)) + (rng.choice(PARTS) if rng.random() < 0.3 else "")
+        else:
+            text = "".join(rng.choices(PARTS, WEIGHTS, k=rng.randint(0, 12)))
+        (folder / f"part-{i}").write_text(text)
+        expected[i] = first_error(text) is not None
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "67")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = {int(r["file"].rsplit("-", 1)[1]) for r in xml_errors(spark, str(folder)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {i for i, bad in expected.items() if bad}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"<a>{numbered(0, 300)}",
+        f"<a>{numbered(0, 300)}</b>",
+        f"<a><b>{numbered(0, 300)}</a></b>",
+        f"<a>{numbered(0, 300)}</a></a>",
+        f"<a>{numbered(0, 150)}<broken x>{numbered(150, 300)}</a>",
+        f"<a>{numbered(0, 150)}&nope;{numbered(150, 300)}</a>",
+        f"<a>{numbered(0, 150)}]]>{numbered(150, 300)}</a>",
+        f"<a>{numbered(0, 150)}<!-- -- -->{numbered(150, 300)}</a>",
+        f"<a>{numbered(0, 300)}</a><!-- ",
+    ],
+)
+def test_failfast_stops_at_errors_outside_rows(spark, xml, small_blocks, text):
+    path = xml(text)
+    assert xml_errors(spark, path).count() == 1
+    with pytest.raises(Exception, match="malformed"):
+        read_xml_rows(spark, path, ["Id"], mode="failfast").count()
+    assert good_rows(read_xml_rows(spark, path, ["Id"])).count() == 300
+
+
+def test_failfast_accepts_what_is_well_formed(spark, xml, small_blocks):
+    deep = "<b>" * 200 + numbered(0, 100) + "</b>" * 200
+    text = f'<?xml version="1.0"?>\n<!DOCTYPE a [ <!ELEMENT a (b)> ]>\n<a>\n{deep}<row Id="7"><c>&amp;</c></row><!-- <d> --></a>\n'
+    path = xml(text)
+    assert xml_errors(spark, path).collect() == []
+    assert read_xml_rows(spark, path, ["Id"], mode="failfast").count() == 101
