@@ -4,18 +4,19 @@ A set is the distinct 64-bit hashes of a text's ``WIDTH``-word shingles. Documen
 sets are one class; everything below works on classes.
 
 1. Grouping. Classes that share a minimum hash are compared with the least of them, and those
-   that are similar enough form groups: all of a group's members are linked with each other,
-   directly or not. Groups are cut into parts of about ``PART`` members.
+   that are similar enough are linked. Linked classes, and others with the same first minimum (a
+   family that may lie just below the threshold), form groups, cut into parts of about ``PART`` members.
 2. Token-group matrix. Each part has the union of its members' tokens, as a bitmap, and an
    index of the tokens that matter: sorted with heavy ones last, two sets that are similar
    enough must share a token among the first fifth (two tokens, unless they are tiny).
-3. Bound. A class meets a part of another group only over such tokens; the bitmaps then bound
-   their overlap from above, and only parts that can hold a similar set are opened.
-4. Opened parts' members are bounded one by one in the same way, and compared exactly by the
-   sets of the texts, until one is similar enough: the others are linked with it already.
-   Links and groups make the components.
-
-A family of copies, however large, is one class or a few parts; nothing pairs its members.
+3. Bound. Parts meet parts only over such tokens of classes that are not linked yet; the members of
+   one then ask the other: the bitmaps bound a class's overlap with the part from above, and only parts
+   that can hold a similar set are opened.
+4. The members of an opened part and the classes that opened it are compared exactly by the sets
+   of their texts, in one table of counts; links that tell nothing new are not kept.
+   All links make the components.
+
+A family of copies, however large, is one class or a few parts; parts, not members, are paired as rows.
 Heavy tokens are known by counts in a table of fixed size; which tokens are called heavy
 changes the order, and so the work, but no result. Only that table and a filter of fixed
 size come to the driver.
@@ -37,7 +38,7 @@ from tagloom.llm.words import Words, mixed, runs, slices, words_of
 WIDTH = 5
 PERCENT = 80
 STARS = 4  # minimum hashes by which classes are grouped
-PART = 64
+PART = 128
 ASKING = 256  # classes that are compared with a part in one piece of work
 DEAL_BYTES = 2 << 20  # of text that a task's pieces stand for
 COUNT_BITS, FILTER_BITS, BLOCKS = 19, 23, 16
@@ -106,6 +107,46 @@ def union_bitmap(maps: list[bytes]) -> bytes:
     return np.packbits(out).tobytes()
 
 
+def similar_pairs(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Which sets are similar enough to which others, as rows of two places."""
+    n, m = (np.array([len(s) for s in group], dtype=np.int64) for group in (sets, others))
+    common = np.zeros((len(sets), len(others)))
+    if not common.size:
+        return np.zeros((0, 2), dtype=np.int64)
+    left, right = np.concatenate(sets), np.concatenate(others)
+    left_owner, right_owner = np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)
+    shared = np.intersect1d(left, right)
+    for low in range(0, len(shared), 4096):  # a bounded table at a time; its counts are exact
+        some = shared[low : low + 4096]
+        tables = []
+        for values, owner, rows in ((left, left_owner, len(sets)), (right, right_owner, len(others))):
+            at = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            hit = some[at] == values
+            table = np.zeros((rows, len(some)), dtype=np.float32)
+            table[owner[hit], at[hit]] = 1
+            tables.append(table)
+        common += tables[0] @ tables[1].T
+    return np.argwhere(100 * common >= PERCENT * (n[:, None] + m[None, :] - common))
+
+
+def spanning(keys: list[bytes], others: list[bytes], pairs: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Enough of the pairs to link all that they link."""
+    root: dict[bytes, bytes] = {}
+
+    def find(key: bytes) -> bytes:
+        while (up := root.get(key, key)) != key:
+            root[key] = key = root.get(up, up)
+        return key
+
+    links = []
+    for i, j in pairs.tolist():
+        a, b = find(keys[i]), find(others[j])
+        if a != b:
+            root[a] = b
+            links.append((keys[i], others[j]))
+    return links
+
+
 def _blocks(values: np.ndarray) -> dict[str, list]:
     parts = np.split(values, BLOCKS)
     return {"block": list(range(BLOCKS)), "data": [p.tobytes() for p in parts]}
@@ -317,31 +358,39 @@ class Join:
         """Links between classes of different groups; ``grouped`` has ``node`` and ``root``."""
         # Numbers stand for keys here; two groups or classes that share one would only be met less
         # or more often, with the chance that two shingles have one hash.
-        shared = self.classes.select("key", "head", "n").join(
+        shared = self.classes.select("key", "head", "n", F.element_at("least", 1).alias("value")).join(
             self.tokens.select("head").distinct(), "head", "left_semi"
         )
         member = shared.join(grouped.withColumnRenamed("node", "key"), "key", "left")
-        member = member.withColumn("group", F.xxhash64(F.coalesce("root", "key"))).drop("root")
-        sizes = grouped.groupBy(F.xxhash64("root").alias("group")).agg((F.count(F.lit(1)) + 1).alias("size"))
-        member = member.join(sizes, "group", "left").withColumn("size", F.coalesce("size", F.lit(1)).cast("int"))
-        parts = F.ceil(F.col("size") / PART)
-        member = self.scratch.keep(member.withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int")))
-        entries = self.tokens.join(member.select("head", "n", "group", "size", "part").distinct(), "head")
-        entries = self.scratch.keep(entries.select("token", "head", "n", "group", "size", "part"))
-        asking = entries.select(
-            "token", "head", "n", F.col("group").alias("own"), F.col("size").alias("own_size")
-        )
-        held = entries.groupBy("token", "group", "part", "size").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        # The smaller group asks, so that a large one's members don't ask for single texts.
-        first = (F.col("own_size") < F.col("size")) | (
-            (F.col("own_size") == F.col("size")) & (F.col("own") < F.col("group"))
+        member = self.scratch.keep(member.withColumn("root", F.coalesce("root", "key")))
+        linked = member.groupBy("root").agg(F.count(F.lit(1)).alias("linked"), F.min("value").alias("family"))
+        member = member.drop("value").join(linked, "root")
+        # Large linked groups stand for themselves; small ones stay together within their family.
+        large = F.col("linked") > PART
+        group = F.when(large, F.xxhash64("root")).otherwise(F.xxhash64(F.lit("family"), "family"))
+        member = self.scratch.keep(member.select("key", "head", "n", "root", "linked", group.alias("group")))
+        sizes = member.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+        together = F.xxhash64(F.when(large, F.col("key")).otherwise(F.col("root")))
+        member = member.join(sizes, "group").withColumn("part", F.pmod(together, F.col("parts")).cast("int"))
+        member = self.scratch.keep(member.select("key", "head", "n", F.xxhash64("root").alias("root"), "group", "part"))
+        entries = self.tokens.join(member.select("head", "n", "root", "group", "part").distinct(), "head")
+        entries = entries.groupBy("token", "group", "part").agg(
+            *[f("n").alias(c) for f, c in ((F.min, "low"), (F.max, "high"))],
+            *[f("root").alias(c) for f, c in ((F.min, "root"), (F.max, "last"))],
         )
-        fits = (100 * F.col("n") >= PERCENT * F.col("low")) & (100 * F.col("high") >= PERCENT * F.col("n"))
-        met = asking.join(held, "token").where(first & fits).groupBy("head", "n", "group", "part")
+        entries = self.scratch.keep(entries)
+        names = ("group", "part", "low", "high", "root", "last")
+        other = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in names])
+        once = F.struct("group", "part") <= F.struct(F.col("b_group").alias("group"), F.col("b_part").alias("part"))
+        fits = (100 * F.col("high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("low"))
+        # Who holds the token is linked already, on both sides.
+        known = (F.col("root") == F.col("last")) & (F.col("b_root") == F.col("b_last")) & (F.col("root") == F.col("b_root"))
+        met = entries.join(other, "token").where(once & fits & ~known).groupBy("group", "part", "b_group", "b_part")
         # A set of 10 is similar to none below 8.
-        least = F.when(F.col("n") >= _PAIRED * 100 / PERCENT, 2).otherwise(1)
-        met = met.agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
-        met = met.join(member.select("head", "key"), "head").select("key", "n", "group", "part")
+        least = F.when(F.col("low") >= _PAIRED * 100 / PERCENT, 2).otherwise(1)
+        met = met.agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("low")).where(F.col("shared") >= least)
+        met = member.select("key", "n", "group", "part").join(met.drop("shared", "low"), ["group", "part"])
+        met = met.select("key", "n", F.col("b_group").alias("group"), F.col("b_part").alias("part"))
         met = self.scratch.keep(met)
         named = member.select("key", "group", "part").join(
             met.select("group", "part").distinct(), ["group", "part"], "left_semi"
@@ -363,7 +412,7 @@ class Join:
             )
 
         # Parts are small, so many are united at a time.
-        dealt = F.pmod(F.xxhash64("group", "part"), F.lit(1 << 12)).alias("deal")
+        dealt = F.pmod(F.xxhash64("group", "part"), F.lit(pieces(self.total, DEAL_BYTES))).alias("deal")
         joint = named.join(known, "key").select("group", "part", "bits", dealt).groupBy("deal")
         unions = joint.applyInArrow(unite, "`group` long, part int, tokens binary")
         rows = met.join(unions, ["group", "part"]).join(known, "key")
@@ -381,11 +430,11 @@ class Join:
         return self.scratch.keep(self.examined(opened, named))
 
     def examined(self, opened: DataFrame, named: DataFrame) -> DataFrame:
-        """For each class and opened part the first member that is similar enough.
+        """Links between classes and members of the parts that they opened.
 
-        The members of a part are linked already, so one is enough. A part's members and
-        ``ASKING`` of the classes that opened it are one piece of work, many of which make
-        a task: texts are sent once for a piece, and no pairs but links leave it.
+        A part's members and ``ASKING`` of the classes that opened it are one piece of work,
+        many of which make a task: texts are sent once for a piece, and no pairs but links
+        that join what was apart in it leave it.
         """
         place = ["group", "part"]
         shares = opened.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / ASKING).cast("int").alias("shares"))
@@ -404,28 +453,18 @@ class Join:
                 found.setdefault(place, []).append(i)
             return found
 
-        def sets_of(rows: pa.Table, which: list[int]) -> list[tuple[bytes, np.ndarray, bytes]]:
+        def sets_of(rows: pa.Table, which: list[int]) -> tuple[list[bytes], list[np.ndarray]]:
             some = rows.take(which)
-            sets = token_sets(words_of(some.column("text").combine_chunks(), fold_case=True))
-            return [(k, s, bitmap(s)) for k, s in zip(some.column("key").to_pylist(), sets, strict=True)]
+            return some.column("key").to_pylist(), token_sets(words_of(some.column("text").combine_chunks(), fold_case=True))
 
         def look(asking: pa.Table, held: pa.Table) -> pa.Table:
             links: list[tuple[bytes, bytes]] = []
             held = held.rename_columns(["deal", *columns])
             members = pieces_of(held)
             for place, which in pieces_of(asking).items():
-                those = sets_of(held, members.get(place, []))
-                for key, tokens, bits in sets_of(asking, which):
-                    for other, others, other_bits in those:
-                        n, m = len(tokens), len(others)
-                        if not _similar(min(n, m), n, m):
-                            continue
-                        most = min(shared_at_most(n, bits, other_bits), shared_at_most(m, other_bits, bits))
-                        if not _similar(most, n, m):
-                            continue
-                        if _similar(len(np.intersect1d(tokens, others, assume_unique=True)), n, m):
-                            links.append((key, other))
-                            break
+                keys, sets = sets_of(asking, which)
+                others, other_sets = sets_of(held, members.get(place, []))
+                links += spanning(keys, others, similar_pairs(sets, other_sets))
             return pa.table(
                 {"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())}
             )

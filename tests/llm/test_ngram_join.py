@@ -85,3 +85,54 @@ def test_bounds_never_fall_short():
         assert common <= nj.shared_at_most(len(a), nj.bitmap(a), nj.bitmap(b)) <= len(a)
         union = nj.union_bitmap([nj.bitmap(a), nj.bitmap(b)])
         assert nj.shared_at_most(len(a), nj.bitmap(a), union) == len(a)
+
+
+def test_counts_of_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 12, k).astype(np.uint64)) for k in (0, 3, 9, 30, 30, 5)]
+    others = [np.unique(rng.integers(0, 12, k).astype(np.uint64)) for k in (9, 30, 0, 30, 5)]
+    found = {tuple(p) for p in nj.similar_pairs(sets, others).tolist()}
+    expected = {
+        (i, j)
+        for i, a in enumerate(sets)
+        for j, b in enumerate(others)
+        if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    }
+    assert found == expected
+    assert nj.similar_pairs([], sets).tolist() == []
+
+
+def near_misses(seed, n, own):
+    """Texts that share 60 words and have ``own`` of their own: just below the threshold."""
+    rng = random.Random(seed)
+    base = [f"b{k}" for k in range(60)]
+    return [(i, " ".join(base + [f"o{rng.random()}" for _ in range(own)])) for i in range(n)]
+
+
+def test_a_family_below_the_threshold_makes_few_rows(table, rows, monkeypatch):
+    """None of 3,000 is linked with another; rows of the joins grow with the texts, not with their pairs."""
+    data = near_misses(1, 3000, 9) + [(5000, "w " * 9 + "x y z"), (5001, "w " * 9 + "x y z")]
+    made = {}
+    keep = nj.Scratch.keep
+
+    def counted(self, df, *by):
+        kept = keep(self, df, *by)
+        made[self.n] = kept.count()
+        return kept
+
+    monkeypatch.setattr(nj.Scratch, "keep", counted)
+    found = rows(similar_documents(table(data)))
+    assert found == sorted([*((i, 65, i) for i in range(3000)), (5000, 4, 5000), (5001, 4, 5000)], key=repr)
+    assert max(made.values()) <= 25 * len(data)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_families_around_the_threshold(table, rows, monkeypatch, seed):
+    """Many parts of a few, so that links go within parts and between them."""
+    monkeypatch.setattr(nj, "PART", 4)
+    rng = random.Random(seed)
+    data = [(i, t) for i, (_, t) in enumerate(near_misses(seed, 40, 9) + near_misses(seed, 40, 6) + near_misses(seed, 20, 7))]
+    rng.shuffle(data)
+    assert rows(similar_documents(table(data))) == by_brute_force(data)
