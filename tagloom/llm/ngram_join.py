@@ -4,8 +4,8 @@ A set is the distinct 64-bit hashes of a text's ``WIDTH``-word shingles. Documen
 sets are one class; everything below works on classes.
 
 1. Grouping. Classes that share a minimum hash are compared with the least of them, and those
-   that are similar enough are linked. Linked classes, and others with the same first minimum (a
-   family that may lie just below the threshold), form groups, cut into parts of about ``PART`` members.
+   that are similar enough are linked. Linked classes, and others that share their most common
+   minimum (a family that may lie just below the threshold), form groups, cut into parts of about ``PART`` members.
 2. Token-group matrix. Each part has the union of its members' tokens, as a bitmap, and an
    index of the tokens that matter: sorted with heavy ones last, two sets that are similar
    enough must share a token among the first fifth (two tokens, unless they are tiny).
@@ -271,8 +271,11 @@ class Join:
         """Links between classes and the least class with which they share a minimum."""
         rows = self.classes.select("key", "n", "bits", F.posexplode("least").alias("star", "value"))
         leaders = rows.groupBy("star", "value").agg(F.min("key").alias("b"), F.count(F.lit(1)).alias("size"))
-        pairs = rows.join(leaders.where("size > 1"), ["star", "value"]).where("key != b")
-        pairs = pairs.select(F.col("key").alias("a"), "b").distinct()
+        near = self.scratch.keep(rows.join(leaders.where("size > 1"), ["star", "value"]).select("key", "b", "star", "value", "size"))
+        # Of a class's minima the one that most others share names its family.
+        most = F.max(F.struct("size", "star", "value"))
+        self.families = self.scratch.keep(near.groupBy("key").agg(F.xxhash64(most["star"], most["value"]).alias("family")))
+        pairs = near.where("key != b").select(F.col("key").alias("a"), "b").distinct()
         return self.scratch.keep(self.compared(self.bounded(pairs)))
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
@@ -358,16 +361,17 @@ class Join:
         """Links between classes of different groups; ``grouped`` has ``node`` and ``root``."""
         # Numbers stand for keys here; two groups or classes that share one would only be met less
         # or more often, with the chance that two shingles have one hash.
-        shared = self.classes.select("key", "head", "n", F.element_at("least", 1).alias("value")).join(
+        shared = self.classes.select("key", "head", "n").join(
             self.tokens.select("head").distinct(), "head", "left_semi"
         )
+        shared = shared.join(self.families, "key", "left")
         member = shared.join(grouped.withColumnRenamed("node", "key"), "key", "left")
         member = self.scratch.keep(member.withColumn("root", F.coalesce("root", "key")))
-        linked = member.groupBy("root").agg(F.count(F.lit(1)).alias("linked"), F.min("value").alias("family"))
-        member = member.drop("value").join(linked, "root")
+        linked = member.groupBy("root").agg(F.count(F.lit(1)).alias("linked"), F.min("family").alias("family"))
+        member = member.drop("family").join(linked, "root")
         # Large linked groups stand for themselves; small ones stay together within their family.
         large = F.col("linked") > PART
-        group = F.when(large, F.xxhash64("root")).otherwise(F.xxhash64(F.lit("family"), "family"))
+        group = F.when(large | F.col("family").isNull(), F.xxhash64("root")).otherwise(F.xxhash64(F.lit("family"), "family"))
         member = self.scratch.keep(member.select("key", "head", "n", "root", "linked", group.alias("group")))
         sizes = member.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
         together = F.xxhash64(F.when(large, F.col("key")).otherwise(F.col("root")))
@@ -378,10 +382,13 @@ class Join:
             *[f("n").alias(c) for f, c in ((F.min, "low"), (F.max, "high"))],
             *[f("root").alias(c) for f, c in ((F.min, "root"), (F.max, "last"))],
         )
-        entries = self.scratch.keep(entries)
-        names = ("group", "part", "low", "high", "root", "last")
+        members = member.groupBy("group", "part").agg(F.count(F.lit(1)).alias("members"))
+        entries = self.scratch.keep(entries.join(members, ["group", "part"]))
+        names = ("members", "group", "part", "low", "high", "root", "last")
         other = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in names])
-        once = F.struct("group", "part") <= F.struct(F.col("b_group").alias("group"), F.col("b_part").alias("part"))
+        # The smaller part asks, so that a large one's members don't ask for single texts.
+        place = ("members", "group", "part")
+        once = F.struct(*place) <= F.struct(*[F.col(f"b_{c}").alias(c) for c in place])
         fits = (100 * F.col("high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("low"))
         # Who holds the token is linked already, on both sides.
         known = (F.col("root") == F.col("last")) & (F.col("b_root") == F.col("b_last")) & (F.col("root") == F.col("b_root"))
