@@ -4,19 +4,19 @@ A set is the distinct 64-bit hashes of a text's ``WIDTH``-word shingles. Documen
 sets are one class; everything below works on classes.
 
 1. Grouping. Classes that share a minimum hash are compared with the least of them, and those
-   that are similar enough are linked. Linked classes, and others that share their most common
-   minimum (a family that may lie just below the threshold), form groups, cut into parts of about ``PART`` members.
+   that are similar enough are linked. Linked classes, and others that share their two most common
+   minima (a family that may lie just below the threshold), form groups, cut into parts of about ``PART`` members.
 2. Token-group matrix. Each part has the union of its members' tokens, as a bitmap, and an
    index of the tokens that matter: sorted with heavy ones last, two sets that are similar
    enough must share a token among the first fifth (two tokens, unless they are tiny).
-3. Bound. Parts meet parts only over such tokens of classes that are not linked yet; the members of
-   one then ask the other: the bitmaps bound a class's overlap with the part from above, and only parts
-   that can hold a similar set are opened.
+3. Bound. A class meets a part only over such tokens, and not where all who hold one are linked
+   already; the bitmaps then bound its overlap with the part from above, and only parts that can
+   hold a similar set are opened.
 4. The members of an opened part and the classes that opened it are compared exactly by the sets
    of their texts, in one table of counts; links that tell nothing new are not kept.
    All links make the components.
 
-A family of copies, however large, is one class or a few parts; parts, not members, are paired as rows.
+A family of copies, however large, is one class or a few parts; members ask parts, and are not paired as rows.
 Heavy tokens are known by counts in a table of fixed size; which tokens are called heavy
 changes the order, and so the work, but no result. Only that table and a filter of fixed
 size come to the driver.
@@ -38,11 +38,11 @@ from tagloom.llm.words import Words, mixed, runs, slices, words_of
 WIDTH = 5
 PERCENT = 80
 STARS = 4  # minimum hashes by which classes are grouped
-PART = 128
+PART = 64
 ASKING = 256  # classes that are compared with a part in one piece of work
 DEAL_BYTES = 2 << 20  # of text that a task's pieces stand for
 COUNT_BITS, FILTER_BITS, BLOCKS = 19, 23, 16
-SHARD_BYTES = 32 << 20  # of text that a shard of the index stands for
+SHARD_BYTES = 16 << 20  # of text that a shard of the index stands for
 UNIT_BYTES = 2 << 20
 _PAIRED = 8  # from this many tokens on, two shared ones are asked for
 
@@ -253,10 +253,12 @@ class Join:
                     )
 
         def meet(rows: pa.Table) -> pa.Table:
-            token = np.concatenate([np.frombuffer(x, np.uint64) for x in rows.column("tokens").to_pylist()])
-            head = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("heads").to_pylist()])
+            token, head = (
+                np.concatenate([np.frombuffer(x.as_py(), t) for x in rows.column(c)]) for c, t in (("tokens", np.uint64), ("heads", np.int64))
+            )
             order = np.lexsort((head, token))
             token, head = token[order], head[order]
+            del order
             new_token = np.append(True, token[1:] != token[:-1])
             distinct = new_token | np.append(True, head[1:] != head[:-1])
             token, head, new_token = token[distinct], head[distinct], new_token[distinct]
@@ -272,9 +274,11 @@ class Join:
         rows = self.classes.select("key", "n", "bits", F.posexplode("least").alias("star", "value"))
         leaders = rows.groupBy("star", "value").agg(F.min("key").alias("b"), F.count(F.lit(1)).alias("size"))
         near = self.scratch.keep(rows.join(leaders.where("size > 1"), ["star", "value"]).select("key", "b", "star", "value", "size"))
-        # Of a class's minima the one that most others share names its family.
-        most = F.max(F.struct("size", "star", "value"))
-        self.families = self.scratch.keep(near.groupBy("key").agg(F.xxhash64(most["star"], most["value"]).alias("family")))
+        # Of a class's minima the two that most others share name its family: one may come from a
+        # passage that else different texts have in common.
+        most = F.sort_array(F.collect_list(F.struct("size", "star", "value")), asc=False)
+        named = near.groupBy("key").agg(F.transform(F.slice(most, 1, 2), lambda m: m["value"]).alias("names"))
+        self.families = self.scratch.keep(named.where(F.size("names") == 2).select("key", F.xxhash64("names").alias("family")))
         pairs = near.where("key != b").select(F.col("key").alias("a"), "b").distinct()
         return self.scratch.keep(self.compared(self.bounded(pairs)))
 
@@ -376,30 +380,27 @@ class Join:
         sizes = member.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
         together = F.xxhash64(F.when(large, F.col("key")).otherwise(F.col("root")))
         member = member.join(sizes, "group").withColumn("part", F.pmod(together, F.col("parts")).cast("int"))
-        member = self.scratch.keep(member.select("key", "head", "n", F.xxhash64("root").alias("root"), "group", "part"))
-        entries = self.tokens.join(member.select("head", "n", "root", "group", "part").distinct(), "head")
-        entries = entries.groupBy("token", "group", "part").agg(
-            *[f("n").alias(c) for f, c in ((F.min, "low"), (F.max, "high"))],
-            *[f("root").alias(c) for f, c in ((F.min, "root"), (F.max, "last"))],
-        )
+        placed = self.scratch.keep(member.select("key", "head", "n", F.xxhash64("root").alias("root"), "group", "part"))
+        member, keys = placed, placed.select("head", "key")
         members = member.groupBy("group", "part").agg(F.count(F.lit(1)).alias("members"))
-        entries = self.scratch.keep(entries.join(members, ["group", "part"]))
-        names = ("members", "group", "part", "low", "high", "root", "last")
-        other = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in names])
+        member = member.select("head", "n", "root", "group", "part").distinct().join(members, ["group", "part"])
+        asking = self.scratch.keep(self.tokens.join(member, "head"))
+        held = asking.groupBy("token", "group", "part", "members").agg(
+            F.min("n").alias("low"), F.max("n").alias("high"), F.min("root").alias("first"), F.max("root").alias("last")
+        )
+        held = held.select("token", *[F.col(c).alias(f"of_{c}") for c in held.columns if c != "token"])
         # The smaller part asks, so that a large one's members don't ask for single texts.
         place = ("members", "group", "part")
-        once = F.struct(*place) <= F.struct(*[F.col(f"b_{c}").alias(c) for c in place])
-        fits = (100 * F.col("high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("low"))
-        # Who holds the token is linked already, on both sides.
-        known = (F.col("root") == F.col("last")) & (F.col("b_root") == F.col("b_last")) & (F.col("root") == F.col("b_root"))
-        met = entries.join(other, "token").where(once & fits & ~known).groupBy("group", "part", "b_group", "b_part")
+        once = F.struct(*place) <= F.struct(*[F.col(f"of_{c}").alias(c) for c in place])
+        fits = (100 * F.col("n") >= PERCENT * F.col("of_low")) & (100 * F.col("of_high") >= PERCENT * F.col("n"))
+        known = (F.col("of_first") == F.col("root")) & (F.col("of_last") == F.col("root"))
+        met = asking.join(held, "token").where(once & fits & ~known).groupBy("head", "n", "of_group", "of_part")
         # A set of 10 is similar to none below 8.
-        least = F.when(F.col("low") >= _PAIRED * 100 / PERCENT, 2).otherwise(1)
-        met = met.agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("low")).where(F.col("shared") >= least)
-        met = member.select("key", "n", "group", "part").join(met.drop("shared", "low"), ["group", "part"])
-        met = met.select("key", "n", F.col("b_group").alias("group"), F.col("b_part").alias("part"))
-        met = self.scratch.keep(met)
-        named = member.select("key", "group", "part").join(
+        least = F.when(F.col("n") >= _PAIRED * 100 / PERCENT, 2).otherwise(1)
+        met = met.agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+        met = met.select("head", "n", F.col("of_group").alias("group"), F.col("of_part").alias("part"))
+        met = self.scratch.keep(met.join(keys, "head").select("key", "n", "group", "part"))
+        named = placed.select("key", "group", "part").join(
             met.select("group", "part").distinct(), ["group", "part"], "left_semi"
         )
         named = self.scratch.keep(named)
