@@ -372,10 +372,15 @@ def _q2_sql(max_score: int, tag: str | None = None) -> str:
     order by a.score asc nulls last, q.creation_date desc nulls first, a.id limit 20"""
 
 
+# Questions and answers once each, as small tables: a self-join of the whole view reads it twice.
+_SIDES = """questions as materialized (
+      select id, accepted_answer_id, title, tags, creation_date from posts where post_type_id = 1),
+    answers as materialized (
+      select id, parent_id, creation_date, score, owner_user_id from posts where post_type_id = 2)"""
+
 _RESPONSES = f"""select q.id as question_id, a.id as answer_id, a.owner_user_id as answerer_id,
       {_MINUTES} as response_time_minutes
-    from posts q join posts a on a.parent_id = q.id
-    where q.post_type_id = 1 and a.post_type_id = 2 and q.tags is not null"""
+    from answers a join questions q on a.parent_id = q.id where q.tags is not null"""
 
 # What loading gives for the columns a view lacks.
 _ABSENT_SQL = {
@@ -449,28 +454,29 @@ def _repaired_sql(posts: str, users: str, *more: str) -> str:
     kept = ", ".join(f"p.{c}" for c in more)
     return f"""
     select p.id, p.post_type_id, p.creation_date, p.score, p.title, p.tags{", " if kept else ""}{kept},
-      case when exists (select 1 from {posts} x where x.id = p.accepted_answer_id)
-        then p.accepted_answer_id end as accepted_answer_id,
-      case when exists (select 1 from {posts} x where x.id = p.parent_id)
-        then p.parent_id end as parent_id,
-      case when exists (select 1 from {users} x where x.id = p.owner_user_id)
-        then p.owner_user_id end as owner_user_id
-    from {posts} p"""
+      case when a.id is not null then p.accepted_answer_id end as accepted_answer_id,
+      case when q.id is not null then p.parent_id end as parent_id,
+      case when u.id is not null then p.owner_user_id end as owner_user_id
+    from {posts} p
+    left join (select distinct id from {posts}) a on a.id = p.accepted_answer_id
+    left join (select distinct id from {posts}) q on q.id = p.parent_id
+    left join (select distinct id from {users}) u on u.id = p.owner_user_id
+    order by p.id"""
 
 
 _TWO_SITES_POSTS = f"""with {ctes("users", "posts", "users_meta", "posts_meta")},
-    main_posts as ({_repaired_sql("posts", "users")}),
-    all_users as (select id from users union all select id from users_meta),
-    all_posts as ({_upserted_posts("main_posts")})
+    main_posts as materialized ({_repaired_sql("posts", "users")}),
+    all_users as materialized (select id from users union all select id from users_meta),
+    all_posts as materialized ({_upserted_posts("main_posts")})
     {_repaired_sql("all_posts", "all_users", "view_count", "answer_count")}"""
 
 
 def _null_dangling_sql(column: str, parents: str, rows: str = "posts") -> str:
     columns = [c for c in _VIEW_COLUMNS["posts"].split() if c != column]
-    return f"""with {ctes("posts", "users")}
-    select {", ".join(columns)},
-      case when exists (select 1 from {parents} and x.id = p.{column}) then {column} end as {column}
-    from {rows} p"""
+    return f"""with {ctes("posts", "users")},
+    known as materialized (select distinct id as known_id from {parents})
+    select {", ".join(columns)}, case when known_id is not null then {column} end as {column}
+    from {rows} left join known on known_id = {column} order by id"""
 
 
 def _fk_audit_sql() -> str:
@@ -565,19 +571,19 @@ def oracle_sql() -> dict[str, str]:
             t as (select id, unnest({_TAG_LIST.format("tags")}) as tag from posts where post_type_id = 1)
             select t1.id as question_id, t1.tag as tag1, t2.tag as tag2
             from t t1 join t t2 on t1.id = t2.id where t1.tag < t2.tag""",
-        "response_time": f"with {posts} {_RESPONSES}",
-        "response_with_author": f"""with {both}, r as ({_RESPONSES})
-            select r.*, u.reputation as answerer_reputation from r join users u on u.id = r.answerer_id""",
-        "corr_guarded": f"""with {both}, r as ({_RESPONSES})
+        "response_time": f"with {posts}, {_SIDES} {_RESPONSES} order by answer_id",
+        "response_with_author": f"""with {both}, {_SIDES}, r as ({_RESPONSES})
+            select r.*, u.reputation as answerer_reputation from r join users u on u.id = r.answerer_id
+            order by answer_id""",
+        "corr_guarded": f"""with {both}, {_SIDES}, r as ({_RESPONSES})
             select question_id, count(*) as answers,
               {_corr_sql("response_time_minutes", "reputation")} as correlation
             from r join users u on u.id = r.answerer_id group by question_id""",
-        "accepted_answers": f"""with {posts}
+        "accepted_answers": f"""with {posts}, {_SIDES}
             select q.accepted_answer_id as answer_id, q.id as question_id, q.title as question_title,
               q.creation_date as question_date, a.score as answer_score,
               a.creation_date as answer_date, a.owner_user_id as user_id
-            from posts q join posts a on q.accepted_answer_id = a.id
-            where q.post_type_id = 1 and a.post_type_id = 2""",
+            from questions q join answers a on q.accepted_answer_id = a.id order by answer_id""",
         "xml_rows": f"""with {ctes("comments")}
             select cast(id as varchar) as Id, cast(post_id as varchar) as PostId,
               cast(user_id as varchar) as UserId, cast(score as varchar) as Score, text as Text,
@@ -588,11 +594,11 @@ def oracle_sql() -> dict[str, str]:
         "load_two_sites_posts": _TWO_SITES_POSTS,
         "upsert_users": f"with {ctes('users', 'users_meta')} {_UPSERTED_USERS}",
         "upsert_posts": f"with {ctes('posts', 'posts_meta')} {_upserted_posts('posts')}",
-        "null_dangling_accepted_answer": _null_dangling_sql("accepted_answer_id", "posts x where true"),
+        "null_dangling_accepted_answer": _null_dangling_sql("accepted_answer_id", "posts"),
         "null_dangling_parent": _null_dangling_sql(
-            "parent_id", "posts x where x.accepted_answer_id is not null"
+            "parent_id", "posts where accepted_answer_id is not null"
         ),
-        "null_dangling_owner": _null_dangling_sql("owner_user_id", "users x where true"),
+        "null_dangling_owner": _null_dangling_sql("owner_user_id", "users"),
         "null_dangling_last_editor": f"""with {both}
             select id, post_type_id, case when exists (select 1 from users x where x.id = editor)
               then editor end as last_editor_user_id
