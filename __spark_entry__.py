@@ -27,6 +27,7 @@ from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
 from tagloom.schemas import ENTITIES
 from tagloom.session import work_folder
+from tagloom.sinks.clustered import read_clustered, write_clustered
 from tagloom.sinks.results import read_json, write_json
 from tagloom.sinks.tables import (
     read_post_tags,
@@ -139,6 +140,20 @@ def _xml_rows(spark: SparkSession, sf: str) -> DataFrame:
     return good_rows(read_xml_rows(spark, path, attributes)).select(*attributes)
 
 
+def _xml_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """Comments, one in five of which stands with other tags in a comment or a CDATA section."""
+    entity = ENTITIES["comments"]
+    attributes = [f.attribute for f in entity.fields]
+    source, path = f"{work_folder(spark)}/{entity.file}.xml", f"{work_folder(spark)}/{entity.file}.xml"
+    lines = spark.read.text(write_xml(view(spark, sf, "comments"), entity, source.rsplit("/", 1)[0]))
+    number = F.regexp_extract("value", ' Id="([0-9]+)"', 1).cast("long")
+    hidden = F.concat(F.lit("<!-- <old> <row Id='0'/>"), "value", F.lit("</other> -->"))
+    quoted = F.concat(F.lit("<![CDATA[<b>"), "value", F.lit("]]>"))
+    lines = lines.select(F.when(number % 10 == 0, hidden).when(number % 10 == 5, quoted).otherwise(F.col("value")).alias("value"))
+    lines.write.text(path)
+    return good_rows(read_xml_rows(spark, path, attributes)).select(*attributes)
+
+
 # Columns that hold the year 1 throughout, which not every client can show.
 _DATELESS = {"users": ("creation_date", "last_access_date")}
 
@@ -266,6 +281,29 @@ def _store_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return report
 
 
+CLUSTERED_BUCKETS = 8
+
+
+def _clustered(query: Callable[[dict[str, DataFrame]], DataFrame], *names: str) -> Query:
+    """``query`` on the named tables, all if none, read from a clustered store."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        store = work_folder(spark)
+        stored = {n: table(spark, sf, n) for n in names} or tables(spark, sf)
+        write_clustered(spark, stored, store, CLUSTERED_BUCKETS)
+        return query(read_clustered(spark, store))
+
+    return run
+
+
+def _upsert_posts_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    def merge(stored: dict[str, DataFrame]) -> DataFrame:
+        new, update = table(spark, sf, "posts_meta").select(*POST_COLUMNS), ENTITIES["posts"].update
+        return merge_upsert(stored["posts"].select(*POST_COLUMNS), new, update=update, split_above=0)
+
+    return _clustered(merge, "posts")(spark, sf)
+
+
 def _json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     posts = view(spark, sf, "posts")
     path = write_json(posts, work_folder(spark), "posts")
@@ -286,6 +324,7 @@ def queries() -> dict[str, Query]:
         "corr_guarded": _corr_guarded,
         "accepted_answers": _accepted_answers,
         "xml_rows": _xml_rows,
+        "xml_sections": _xml_sections,
         "load_two_sites_users": _load_two_sites_users,
         "load_two_sites_posts": _load_two_sites_posts,
         "upsert_users": _upsert_users,
@@ -302,6 +341,10 @@ def queries() -> dict[str, Query]:
         "not_null_audit_flawed": _not_null_audit_flawed,
         "store_roundtrip": _store_roundtrip,
         "json_roundtrip": _json_roundtrip,
+        "response_time_clustered": _clustered(lambda t: response_times(t["posts"]), "posts"),
+        "accepted_answers_clustered": _clustered(lambda t: accepted_answers(t["posts"]), "posts"),
+        "pk_audit_clustered": _clustered(audit.pk_audit),
+        "upsert_posts_clustered": _upsert_posts_clustered,
     }
     found |= {f"ingest_{name}": _ingest(name) for name in ENTITIES}
     found |= {
@@ -589,6 +632,11 @@ def oracle_sql() -> dict[str, str]:
               cast(user_id as varchar) as UserId, cast(score as varchar) as Score, text as Text,
               strftime(creation_date, '%Y-%m-%dT%H:%M:%S.%g') as CreationDate
             from comments""",
+        "xml_sections": f"""with {ctes("comments")}
+            select cast(id as varchar) as Id, cast(post_id as varchar) as PostId,
+              cast(user_id as varchar) as UserId, cast(score as varchar) as Score, text as Text,
+              strftime(creation_date, '%Y-%m-%dT%H:%M:%S.%g') as CreationDate
+            from comments where id % 5 <> 0""",
         "load_two_sites_users": f"""with {ctes("users", "users_meta")}
             select *, 0 as views from ({_UPSERTED_USERS})""",
         "load_two_sites_posts": _TWO_SITES_POSTS,
@@ -620,6 +668,8 @@ def oracle_sql() -> dict[str, str]:
         if not entity.update
     }
     found |= {f"{n}_split": found[n] for n in ("upsert_users", "upsert_posts")}
+    clustered = ("response_time", "accepted_answers", "pk_audit", "upsert_posts")
+    found |= {f"{n}_clustered": found[n] for n in clustered}
     found |= {f"{n}_by_key": sql for n, sql in found.items() if n.startswith("null_dangling_")}
     if llm is not None:
         found |= llm.oracle_sql()

@@ -8,6 +8,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from tagloom.operators.spread import spread_join
 from tagloom.session import settled, side_by_side
 
 # Most values a set of references may hold to be broadcast (8 bytes each).
@@ -61,8 +62,8 @@ def null_dangling(
     The values without a target are found first, on the slim columns alone. A
     counted, small set is broadcast and the wide rows stay in place. A bigger one is
     turned into the broken values of each key, and the wide rows are joined once on the
-    key, however many columns are broken. Only slim rows meet on the value there; one
-    that many rows share is left to adaptive skew handling. Rows with a repeated or NULL
+    key, however many columns are broken. Only slim rows meet on the value there, and one
+    that many rows share is spread over many tasks. Rows with a repeated or NULL
     key get the same answer either way, as key and value must both agree. ``slim`` may
     hold the key and reference columns of ``rows`` where computing them again is dear.
     """
@@ -89,7 +90,7 @@ def null_dangling(
             else:
                 marks[column] = F.coalesce(F.array_contains(f"_broken.{column}", F.col(column)), F.lit(False))
                 pairs = source.select(F.col(key).alias("_key"), F.col(column).alias("_value"))
-                hits = pairs.join(values, F.col("_value") == F.col(mark))
+                hits = spread_join(pairs, values.withColumnRenamed(mark, "_value"), "_value")
                 broken.append(hits.select("_key", F.lit(column).alias("_column"), "_value"))
     if broken:
         hits = reduce(DataFrame.unionByName, broken)

@@ -3,7 +3,8 @@
 Row by row this would join every answer to its question and repeat it for every
 tag pair. Instead the answers are summed up per question first. A question with
 a third of all answers is then one row per task at the join, and a question's
-pairs are unfolded once, not once per answer.
+pairs are unfolded once, not once per answer. An author of a third of all answers is met by
+many tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from tagloom.functions.stats import Moments
 from tagloom.functions.tagtext import extract_tags, has_two_tags
 from tagloom.functions.timing import epoch_millis
 from tagloom.operators.posts import answers, questions, unfold_tag_pairs
+from tagloom.operators.spread import spread_join
 
 # x: answer time in milliseconds, y: reputation of the author
 M = Moments()
@@ -41,9 +43,9 @@ def reputation_pairs(
     if tag is not None:  # few questions: their answers are picked before they meet the authors
         answered_by = answered_by.join(q.select(F.col("id").alias("parent_id")), "parent_id", "left_semi")
     authors = users.select(F.col("id").alias("owner_user_id"), "reputation")
+    timed = answered_by.select("parent_id", "owner_user_id", epoch_millis(F.col("creation_date")).alias("time"))
     per_question = (
-        answered_by.select("parent_id", "owner_user_id", epoch_millis(F.col("creation_date")).alias("time"))
-        .join(authors, "owner_user_id")
+        spread_join(timed, authors, "owner_user_id")
         .groupBy("parent_id")
         .agg(*M.of_rows(F.col("time"), F.col("reputation")))
     )
