@@ -42,14 +42,17 @@ def with_author(responses: DataFrame, users: DataFrame) -> DataFrame:
     return responses.join(authors, "answerer_id")
 
 
-def accepted_answers(posts: DataFrame, tag: str | None = None) -> DataFrame:
+def accepted_answers(posts: DataFrame, tag: str | None = None, tag_rows: DataFrame | None = None) -> DataFrame:
     """Each question that accepted an answer, with that answer.
 
     With ``tag`` only questions that carry it, once per occurrence: what a join
-    to the post-tag rows of that tag gives, but without shuffling by tag.
+    to the post-tag rows of that tag gives, but without shuffling by tag. With a stored post-tag table
+    as ``tag_rows`` it is that join, and no tag text is read.
     """
     q = questions(posts).where("accepted_answer_id is not null")
-    if tag is not None:
+    if tag is not None and tag_rows is not None:
+        q = with_tag(q, tag_rows, tag)
+    elif tag is not None:
         q = q.where(F.contains("tags", F.lit(tag)))
         q = q.withColumn("tag", F.explode(F.filter(extract_tags(F.col("tags")), lambda x: x == tag)))
     q = q.select(

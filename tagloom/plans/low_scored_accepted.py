@@ -14,15 +14,17 @@ def low_scored_accepted(
     max_score: int = 5,
     limit: int | None = 20,
     tag: str | None = None,
+    tag_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Accepted answers with a score up to ``max_score`` by known users, lowest
-    first, then by the newest question. With ``tag`` only of questions that carry it."""
+    first, then by the newest question. With ``tag`` only of questions that carry it, which
+    a stored post-tag table (``tag_rows``) tells without reading tag texts."""
     authors = users.select(
         F.col("id").alias("user_id"),
         F.col("display_name").alias("user_name"),
         F.col("reputation").alias("user_reputation"),
     )
-    found = accepted_answers(posts, tag).where(F.col("answer_score") <= max_score)
+    found = accepted_answers(posts, tag, tag_rows).where(F.col("answer_score") <= max_score)
     found = found.join(authors, "user_id")
     if limit is not None:
         found = found.orderBy(

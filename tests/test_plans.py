@@ -114,3 +114,10 @@ def test_the_anchor_meets_the_answers_before_the_authors(stored, unknown_sizes):
     semi = [depth(x) for x in lines if "LeftSemi" in x]
     authors = [depth(x) for x in lines if "owner_user_id" in x and "Inner" in x]
     assert semi and authors and min(semi) > min(authors)
+
+
+def test_a_stored_tag_is_read_without_tag_texts(spark, sf_dir, unknown_sizes):
+    plan = plan_of(entry_module.queries()["q2_tagged_stored"](spark, sf_dir))
+    assert "EqualTo(tag,automobile)" in plan
+    assert "post_id:bigint,tag:string" in plan  # the post-tag table
+    assert not any(re.search(r"\btags:", s) or "body" in s for s in scans(plan))
