@@ -22,11 +22,12 @@ from tagloom.operators.posts import (
     with_author,
 )
 from tagloom.operators.references import null_dangling, orphan_rows
-from tagloom.plans.importing import merge_sites, stage_sites
+from tagloom.plans.importing import import_into_blocks, merge_sites, stage_sites
 from tagloom.plans.low_scored_accepted import low_scored_accepted
 from tagloom.plans.reputation_pairs import reputation_pairs
 from tagloom.schemas import ENTITIES
 from tagloom.session import work_folder
+from tagloom.sinks.blocks import merge_blocks, read_blocks, write_blocks
 from tagloom.sinks.clustered import read_clustered, write_clustered
 from tagloom.sinks.results import read_json, write_json
 from tagloom.sinks.tables import (
@@ -34,6 +35,7 @@ from tagloom.sinks.tables import (
     read_table,
     read_tables,
     refresh_post_tags,
+    table_path,
     write_table,
     write_tables,
 )
@@ -179,12 +181,16 @@ def _ingest(name: str) -> Query:
     return run
 
 
-def _two_sites(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+def _site_dirs(spark: SparkSession, sf: str, *names: str) -> list[str]:
     site_dirs = [work_folder(spark), work_folder(spark)]
     for suffix, site_dir in zip(("", "_meta"), site_dirs):
         for name in names:
             write_xml(view(spark, sf, name + suffix), ENTITIES[name], site_dir)
-    return merge_sites(spark, stage_sites(spark, site_dirs))
+    return site_dirs
+
+
+def _two_sites(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    return merge_sites(spark, stage_sites(spark, _site_dirs(spark, sf, *names)))
 
 
 def _load_two_sites_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -315,6 +321,30 @@ def _upsert_posts_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return _clustered(merge, "posts")(spark, sf)
 
 
+def _merge_in_place(name: str, width: int, *columns: str) -> Query:
+    """The second site's rows of an entity merged into its stored table."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        store = work_folder(spark)
+        write_blocks(spark, {name: table(spark, sf, name)}, store, width)
+        merge_blocks(spark, store, name, table(spark, sf, f"{name}_meta"))
+        return read_blocks(spark, store)[name].select(*columns or _VIEW_COLUMNS[name].split())
+
+    return run
+
+
+def _load_two_sites_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    store, names = work_folder(spark), ("users", "posts")
+    import_into_blocks(spark, _site_dirs(spark, sf, *names), store, 1_000_000)
+    return read_blocks(spark, store)["posts"].select(*POST_COLUMNS)
+
+
+def _not_null_audit_stored(spark: SparkSession, sf: str) -> DataFrame:
+    store = work_folder(spark)
+    write_tables(spark, _flawed_tables(spark, sf), store)
+    return audit.not_null_audit_stored(spark, {n: table_path(store, n) for n in ENTITIES})
+
+
 def _json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     posts = view(spark, sf, "posts")
     path = write_json(posts, work_folder(spark), "posts")
@@ -357,6 +387,11 @@ def queries() -> dict[str, Query]:
         "accepted_answers_clustered": _clustered(lambda t: accepted_answers(t["posts"]), "posts"),
         "pk_audit_clustered": _clustered(audit.pk_audit),
         "upsert_posts_clustered": _upsert_posts_clustered,
+        "upsert_users_in_place": _merge_in_place("users", 500, "id", "reputation", "display_name"),
+        "upsert_posts_in_place": _merge_in_place("posts", 1_000_000, *POST_COLUMNS),
+        "insert_ignore_comments_in_place": _merge_in_place("comments", 10_000),
+        "load_two_sites_posts_in_place": _load_two_sites_in_place,
+        "not_null_audit_stored": _not_null_audit_stored,
     }
     found |= {f"ingest_{name}": _ingest(name) for name in ENTITIES}
     found |= {
@@ -682,7 +717,10 @@ def oracle_sql() -> dict[str, str]:
     found |= {f"{n}_split": found[n] for n in ("upsert_users", "upsert_posts")}
     clustered = ("response_time", "accepted_answers", "pk_audit", "upsert_posts")
     found |= {f"{n}_clustered": found[n] for n in clustered}
+    merged = ("upsert_users", "upsert_posts", "insert_ignore_comments", "load_two_sites_posts")
+    found |= {f"{n}_in_place": found[n] for n in merged}
     found["q2_tagged_stored"] = found["q2_tagged"]
+    found["not_null_audit_stored"] = found["not_null_audit_flawed"]
     found |= {f"{n}_by_key": sql for n, sql in found.items() if n.startswith("null_dangling_")}
     if llm is not None:
         found |= llm.oracle_sql()

@@ -16,6 +16,7 @@ from tagloom.operators.merge import collapse_repeats, key_profile, merge_upsert
 from tagloom.operators.references import null_dangling
 from tagloom.schemas import ENTITIES, REPAIRED_KEYS
 from tagloom.session import one_work_folder, remove_folder, settled, side_by_side
+from tagloom.sinks.blocks import merge_blocks, read_blocks, write_blocks
 from tagloom.sinks.tables import refresh_post_tags, table_path, write_tables
 from tagloom.sources.site import entity_files, load_site
 from tagloom.sources.xml_blocks import xml_errors
@@ -93,10 +94,66 @@ def merge_sites(spark: SparkSession, sites: Sequence[Mapping[str, DataFrame]]) -
     return tables
 
 
+def add_to_blocks(
+    spark: SparkSession, staged: Mapping[str, DataFrame], store: str
+) -> dict[str, list[int | None]]:
+    """One more staged site merged into a store of blocks; the blocks of each table it rewrote.
+
+    A merge takes no id away, so a reference that had its target keeps it, and none of the columns
+    that a site updates is a reference: only the site's own posts are repaired, by the ids there
+    are with it.
+    """
+    rewritten = {}
+    for name in ENTITIES:
+        if name not in staged:
+            continue
+        new = good_rows(staged[name])
+        if name == "posts":
+            stored = read_blocks(spark, store)
+            parents = {
+                "posts": stored["posts"].select("id").unionByName(new.select("id")),
+                "users": stored["users"].select("id"),
+            }
+            new = null_dangling(new, {column: parents[p] for column, p in REPAIRED_KEYS.items()})
+        rewritten[name] = merge_blocks(spark, store, name, new, order=F.col(POSITION))
+    return rewritten
+
+
 def _errors(spark: SparkSession, path: str) -> DataFrame:
     return settled(xml_errors(spark, path))
 
 
+Place = tuple[str, str, str]  # site, entity, file
+
+
+def _places_and_errors(spark: SparkSession, site_dirs: Sequence[str]) -> tuple[list[Place], list[DataFrame]]:
+    places = [(d, name, path) for d in site_dirs for name, path in entity_files(spark, d).items()]
+    return places, side_by_side(spark, [partial(_errors, spark, path) for _, _, path in places])
+
+
+def _write_faults(
+    spark: SparkSession,
+    sites: Sequence[Mapping[str, DataFrame]],
+    site_dirs: Sequence[str],
+    places: Sequence[Place],
+    errors: Sequence[DataFrame],
+    store: str,
+    how: str,
+) -> None:
+    """Text of malformed rows, and the first place of each file that is not well-formed."""
+    corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
+    for site_dir, staged in zip(site_dirs, sites):
+        for name, df in staged.items():
+            source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
+            corrupt = corrupt.unionByName(corrupt_rows(df).select(*source, CORRUPT))
+    corrupt.write.mode(how).parquet(table_path(store, QUARANTINE))
+    malformed = spark.createDataFrame([], "site_dir string, entity string, file string, message string, record string")
+    for (site_dir, name, _), found in zip(places, errors):
+        source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
+        malformed = malformed.unionByName(found.select(*source, "file", "message", "record"))
+    malformed.write.mode(how).parquet(table_path(store, MALFORMED))
+
+
 def import_sites(
     spark: SparkSession,
     site_dirs: Sequence[str],
@@ -114,20 +171,35 @@ def import_sites(
     """
     with one_work_folder(spark) as folder:
         sites = stage_sites(spark, site_dirs, mode, bad_time)
-        places = [(d, name, path) for d in site_dirs for name, path in entity_files(spark, d).items()]
-        errors = side_by_side(spark, [partial(_errors, spark, path) for _, _, path in places])
+        places, errors = _places_and_errors(spark, site_dirs)
         write_tables(spark, merge_sites(spark, sites), store)
         refresh_post_tags(spark, store)
-        corrupt = spark.createDataFrame([], f"site_dir string, entity string, {CORRUPT} string")
-        for site_dir, staged in zip(site_dirs, sites):
-            for name, df in staged.items():
-                source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
-                corrupt = corrupt.unionByName(corrupt_rows(df).select(*source, CORRUPT))
-        corrupt.write.mode("overwrite").parquet(table_path(store, QUARANTINE))
-        malformed = spark.createDataFrame([], "site_dir string, entity string, file string, message string, record string")
-        for (site_dir, name, _), found in zip(places, errors):
-            source = [F.lit(site_dir).alias("site_dir"), F.lit(name).alias("entity")]
-            malformed = malformed.unionByName(found.select(*source, "file", "message", "record"))
-        malformed.write.mode("overwrite").parquet(table_path(store, MALFORMED))
+        _write_faults(spark, sites, site_dirs, places, errors, store, "overwrite")
     if not keep_staged:
         remove_folder(spark, folder)
+
+
+def import_into_blocks(
+    spark: SparkSession,
+    site_dirs: Sequence[str],
+    store: str,
+    width: int | None = None,
+    mode: str = "quarantine",
+    bad_time: str = "sentinel",
+) -> None:
+    """Merge the unpacked dumps of the sites, in order, into a store of blocks.
+
+    With ``width`` the store is begun anew in blocks of so many ids; without, what it holds is
+    kept. Malformed rows and files are noted as ``import_sites`` does, beside those of earlier
+    imports.
+    """
+    with one_work_folder(spark) as folder:
+        sites = stage_sites(spark, site_dirs, mode, bad_time)
+        places, errors = _places_and_errors(spark, site_dirs)
+        if width is not None:
+            write_blocks(spark, {}, store, width)
+        for staged in sites:
+            add_to_blocks(spark, staged, store)
+        how = "append" if width is None else "overwrite"
+        _write_faults(spark, sites, site_dirs, places, errors, store, how)
+    remove_folder(spark, folder)
