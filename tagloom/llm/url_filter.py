@@ -2,7 +2,15 @@
 
 The trees see lexical features only: lengths, depth, digits, entropy, parameters, and
 statistics of the host's suffixes. They are trained by MLlib on all urls that a rule labels.
-Suffixes are hashed to a fixed number of buckets, so that their table has a bound.
+
+Each suffix of one and of two labels has statistics of its own: how many urls end so, and which share
+of those labelled are blocked. The table of suffixes grows with the hosts; it is counted before it is
+joined, and a suffix that many urls have is dealt over many tasks. A labelled url's share is taken
+from the other folds' labels, as its own would give the answer away; folds go by the url, so that
+repeated urls don't tell on one another.
+
+Very long urls are judged whole. An empty table gives no rows. Columns of the input other than the
+id and the url are not read.
 """
 
 from __future__ import annotations
@@ -17,8 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.scratch import Scratch
+from tagloom.operators.spread import spread_join
 
-SUFFIX_BUCKETS = 2048
+FOLDS = 5
 TREES, DEPTH, STEP, SEED = 20, 4, 0.2, 7
 
 
@@ -67,9 +76,33 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, bits).otherwise(0.0)
 
 
-def _suffix_bucket(labels: int) -> Column:
-    suffix = F.substring_index(F.col("host"), ".", -labels)
-    return F.pmod(F.xxhash64(F.lit(labels), suffix), F.lit(SUFFIX_BUCKETS)).cast("int")
+def _suffix(labels: int) -> Column:
+    return F.substring_index(F.col("host"), ".", -labels)
+
+
+def with_suffix_statistics(rows: DataFrame, suffix: str, scratch: Scratch) -> DataFrame:
+    """``rows`` with ``f_<suffix>_size`` and ``f_<suffix>_blocked`` in place of the column ``suffix``.
+
+    ``ruled`` is a row's label or null, ``fold`` its fold. The blocked share is that of the labelled
+    rows with the suffix, for a labelled row of those in other folds, drawn to a half as if two more
+    were there, one of each kind.
+    """
+    def per_fold(kind: Column) -> Column:
+        return F.array(*[F.count_if(kind & (F.col("fold") == k)) for k in range(FOLDS)])
+
+    stats = rows.groupBy(suffix).agg(
+        F.log1p(F.count(F.lit(1))).alias(f"f_{suffix}_size"),
+        per_fold(F.col("ruled").isNotNull()).alias("labelled"),
+        per_fold(F.coalesce(F.col("ruled") == "block", F.lit(False))).alias("blocked"),
+    )
+    joined = spread_join(rows, scratch.keep(stats), suffix)
+
+    def seen(name: str) -> Column:
+        total = F.aggregate(name, F.lit(0).cast("long"), lambda n, k: n + k)
+        return total - F.when(F.col("ruled").isNull(), 0).otherwise(F.get(name, "fold"))
+
+    share = (seen("blocked") + 1) / (seen("labelled") + 2)
+    return joined.withColumn(f"f_{suffix}_blocked", share).drop("labelled", "blocked", suffix)
 
 
 def lexical_features() -> dict[str, Column]:
@@ -102,7 +135,7 @@ def judged_urls(pages: DataFrame, rules: list[Rule], id: str = "page_id", url: s
     Urls that a rule fits get the rule's verdict, and are what the trees learn from. With
     labels of one kind only, that is the verdict of the others; without any, they are allowed.
     Null and empty urls are judged like others, by empty parts. Rows are judged one by one:
-    repeated ids stay.
+    repeated ids stay, and repeated urls get one verdict.
     """
     scratch = Scratch(pages.sparkSession)
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"))
@@ -111,17 +144,13 @@ def judged_urls(pages: DataFrame, rules: list[Rule], id: str = "page_id", url: s
         {"rule": fitting_rule(rules, "text"), "ruled": fitting_rule(rules, "verdict")}
     )
     rows = rows.withColumns(
-        lexical_features() | {"last_1": _suffix_bucket(1), "last_2": _suffix_bucket(2)}
+        lexical_features()
+        | {"last_1": _suffix(1), "last_2": _suffix(2)}
+        | {"fold": F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")}
     ).drop("url")
     rows = scratch.keep(rows)
     for name in ("last_1", "last_2"):
-        labelled = F.count("ruled")
-        blocked = F.count(F.when(F.col("ruled") == "block", 1))
-        stats = rows.groupBy(name).agg(
-            F.log1p(F.count(F.lit(1))).alias(f"f_{name}_size"),
-            ((blocked + 1) / (labelled + 2)).alias(f"f_{name}_blocked"),
-        )
-        rows = rows.join(F.broadcast(stats), name)  # SUFFIX_BUCKETS rows at most
+        rows = with_suffix_statistics(rows, name, scratch)
     features = [c for c in rows.columns if c.startswith("f_")]
     rows = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
     label = (F.col("ruled") == "block").cast("double").alias("label")

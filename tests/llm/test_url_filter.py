@@ -1,5 +1,11 @@
+import math
+import random
+
+import pytest
+
 from tagloom.llm.queries import URL_RULES
-from tagloom.llm.url_filter import Rule, judged_urls
+from tagloom.llm.scratch import Scratch
+from tagloom.llm.url_filter import Rule, judged_urls, with_suffix_statistics
 
 URLS = {
     "https://A.example.ORG/es/1": ("a.example.org", "/es/1", "example.org/es/", "block"),
@@ -45,3 +51,27 @@ def test_one_label_or_none(spark):
     assert {r["verdict"] for r in only.collect()} == {"block"}
     assert {r["verdict"] for r in judged_urls(pages, []).collect()} == {"allow"}
     assert judged_urls(pages.limit(0), URL_RULES).count() == 0
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"], ids=["broadcast", "shuffled"])
+def test_suffix_statistics_as_counted_by_hand(spark, threshold):
+    rng = random.Random(5)
+    # One suffix on a third of all rows, and more suffixes than any fixed table of 2,048 would tell apart.
+    suffixes = ["hot"] * 1500 + [f"s{rng.randrange(4000)}" for _ in range(3000)]
+    data = [(i, s, rng.choice([None, "allow", "block"]), rng.randrange(5)) for i, s in enumerate(suffixes)]
+    rows = spark.createDataFrame(data, "id long, last_1 string, ruled string, fold int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = with_suffix_statistics(rows, "last_1", Scratch(spark)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == len(data)
+    groups = {}
+    for row in data:
+        groups.setdefault(row[1], []).append(row)
+    for row in found:
+        group = groups[suffixes[row["id"]]]
+        assert row["f_last_1_size"] == pytest.approx(math.log1p(len(group)))
+        known = [r for r in group if r[2] and (row["ruled"] is None or r[3] != row["fold"])]
+        blocked = sum(r[2] == "block" for r in known)
+        assert row["f_last_1_blocked"] == pytest.approx((blocked + 1) / (len(known) + 2))
