@@ -6,9 +6,10 @@ import pathlib
 
 import pytest
 
-from tagloom.plans.importing import import_sites
+from tagloom.plans.importing import import_into_blocks, import_sites
 from tagloom.plans.job import run_all, run_queries
 from tagloom.schemas import ENTITIES
+from tagloom.sinks.blocks import read_blocks
 from tagloom.sinks.results import read_json, write_json
 from tagloom.sinks.tables import read_post_tags, read_tables, table_path
 
@@ -178,3 +179,16 @@ def test_files_that_are_not_well_formed_are_named(spark, imported):
     found = spark.read.parquet(table_path(imported[1], "malformed")).collect()
     assert [(r["entity"], r["message"]) for r in found] == [("posts", "malformed tag")]
     assert found[0]["record"].startswith('row Id="6"')
+
+
+def test_sites_added_to_a_store_of_blocks(spark, rows, tmp_path):
+    store = str(tmp_path / "store")
+    import_into_blocks(spark, [write_site(tmp_path / "main", MAIN)], store, width=10)
+    import_into_blocks(spark, [write_site(tmp_path / "meta", META)], store)
+    found = read_blocks(spark, store)
+    assert rows(found["comments"], "id", "text") == [(1, "first"), (2, "new")]
+    posts = {r["id"]: r for r in found["posts"].collect()}
+    assert sorted(posts) == [1, 2, 3, 4, 5, 90, 91]
+    assert (posts[1]["score"], posts[1]["view_count"], posts[1]["accepted_answer_id"]) == (500, None, 2)
+    assert posts[3]["owner_user_id"] is None and posts[4]["accepted_answer_id"] is None
+    assert (posts[90]["owner_user_id"], posts[90]["parent_id"], posts[91]["owner_user_id"]) == (70, 1, None)
