@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from tagloom.llm.nearest import bucket_scores, nearest, rotated
+from tagloom.llm.nearest import (
+    PROBED, TABLES, axis_scores, block_products, cell_scores, least_scores, nearest, rotated,
+)
 
 
 def by_brute_force(ids, vectors, queries, k):
@@ -23,7 +25,7 @@ def test_rotation_keeps_products():
     turned = rotated(unit, 1)
     assert turned.shape == (5, 16)
     assert np.allclose(turned @ turned.T, unit @ unit.T)
-    assert bucket_scores(unit, 1).shape == (5, 32)
+    assert axis_scores(unit, 1).shape == (5, 32)
 
 
 @pytest.mark.parametrize("equal_length", [True, False])
@@ -68,3 +70,55 @@ def test_fewer_than_k_and_none(spark):
     found = nearest(df, df.where("vec_id = 0"), k=20).orderBy("rank").collect()
     assert [(r["vec_id"], r["score"]) for r in found] == [(2, 0.0), (1, -1.0)]
     assert nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_fewer_products_than_brute_force():
+    """Vectors without structure, the worst case: each query is multiplied with less than all rows."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(4000, 64))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    queries = unit[:200]
+    exact = queries @ unit.T
+    nearest_20 = np.argsort(-exact, axis=1)[:, 1:21]
+    products, found = 0, np.zeros(exact.shape, dtype=bool)
+    for table in range(TABLES):
+        first, second = (x.argmax(axis=1) for x in cell_scores(unit, table))
+        order = np.lexsort((second, first))
+        scores = cell_scores(queries, table)
+        least = least_scores(*scores, PROBED)
+        cells = (scores[0][:, :, None] + scores[1][:, None, :]).reshape(len(queries), -1)
+        share = (cells >= least[:, None]).mean(axis=1)
+        assert np.all(abs(share - PROBED) < 0.001)
+        got = block_products(unit[order], (first[order], second[order]), queries, scores, least)
+        opened = got > -np.inf
+        assert np.allclose(got[opened], exact[:, order][opened])
+        assert np.array_equal(opened, scores[0][:, first[order]] + scores[1][:, second[order]] >= least[:, None])
+        products += opened.sum()
+        found[:, order] |= opened
+    assert products < 0.85 * exact.size
+    assert np.take_along_axis(found, nearest_20, axis=1).mean() >= 0.93
+
+
+def test_crowded_cells_and_many_blocks(spark, monkeypatch):
+    """Blocks of few rows: neighbouring cells in blocks of their own, a crowded one in parts."""
+    import tagloom.llm.nearest as module
+
+    monkeypatch.setattr(module, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(4)
+    crowd = rng.normal(size=8) + rng.normal(size=(200, 8)) * 1e-3
+    vectors = np.concatenate([crowd, rng.normal(size=(200, 8))]).astype(np.float32).astype(np.float64)
+    ids = list(range(400))
+    df = frame(spark, ids, vectors)
+    found = nearest(df, df.where("vec_id % 20 = 0"), k=20, probed=1.0).collect()
+    exact = by_brute_force(ids, vectors, range(0, 400, 20), 20)
+    for q, best in exact.items():
+        mine = [(r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert [m[0] for m in mine] == [b[0] for b in best]
+
+
+def test_doubles_are_ranked_as_they_are(spark):
+    """Scores that single precision could not tell apart."""
+    rows = [(0, [1.0, 0.0]), *[(i, [1.0 + i * 1e-12, 0.5]) for i in range(1, 30)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest(df, df.where("vec_id = 0"), k=20, probed=1.0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(i, 1.0 + i * 1e-12) for i in range(29, 9, -1)]
