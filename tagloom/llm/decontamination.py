@@ -18,6 +18,9 @@
 
 Documents are streamed once for every ``SPACES`` latent spaces and ``ITEMS`` items at most, which
 bounds what the tasks hold; they are never shuffled. Items longer than ``PASSAGE`` words are several passages, each enough by itself.
+
+Very long texts are streamed whole, window by window. Without documents or without a benchmark
+nothing is found. Only ids, texts and answers are looked at, whatever other columns are called.
 """
 
 from __future__ import annotations

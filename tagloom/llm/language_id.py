@@ -9,6 +9,9 @@ languages share is taken away from each, and from the text.
 
 Learning reads all training rows in one pass; each task returns one vector per language
 it met, so that what is shuffled depends on tasks and languages, not on rows.
+
+Rows are read one by one: a repeated row counts again for its language and gets its prediction
+again. Very long texts are bundled whole. An empty table teaches nothing and has no predictions.
 """
 
 from __future__ import annotations

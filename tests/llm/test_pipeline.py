@@ -18,3 +18,19 @@ def test_stages_and_run(spark, sf_dir):
     assert not any(i in r["text"] for r in found.select("text").collect() for i in items)
     ids = [r["doc_id"] for r in rows]
     assert max(map(ids.count, set(ids))) <= 2
+
+
+def test_stages_on_awkward_and_empty_tables(spark, sf_dir, awkward, table, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names pass through every stage."""
+    for name, docs in (("awkward", awkward), ("empty", table([]))):
+        columns = docs.columns
+        for stage, step in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}-{stage}")
+            step(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if stage != "shard":
+                assert docs.columns == columns
+        found = docs.collect()
+        assert docs.columns == [*[c for c in columns if c not in ("shard", "slot")], "shard", "slot"]
+        assert (len(found) > 0) == (name == "awkward")
+        assert len({(r["shard"], r["slot"]) for r in found}) == len(found)
