@@ -119,3 +119,23 @@ def test_null_audit_reads_footers_only(spark, sf_dir, rows, store):
     assert scans.count("PushedAggregation: [COUNT(*)") == len(ENTITIES), plan
     # The session that asked keeps its settings.
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_sparse_ids_share_blocks_and_full_ones_are_cut(spark, rows, store):
+    ids = [i * 1000 for i in range(200)]
+    write_blocks(spark, {"users": users(spark, ids, 1)}, store, width=10)
+    assert 10 <= len(files(store, "users")) <= 25
+    before = files(store, "users")
+    # Most of these lie in one block, some below and above all, one in the last but one.
+    new = [*range(50_000, 50_100), -7, 900_000, 900_005, 188_000]
+    changed = merge_blocks(spark, store, "users", users(spark, new, 7))
+    found = rows(read_blocks(spark, store)["users"], "id", "reputation")
+    assert found == sorted((dict.fromkeys(ids, 1) | dict.fromkeys(new, 7)).items(), key=repr)
+    assert len(before & files(store, "users")) >= len(before) - 3
+    sizes = {r[BLOCK]: r["count"] for r in spark.read.parquet(table_path(store, "users")).groupBy(BLOCK).count().collect()}
+    assert max(sizes.values()) <= 30 and {-1, 90_000} <= {*changed} <= {*sizes}
+    # A block's rows lie between its number and the next one's.
+    low = spark.read.parquet(table_path(store, "users")).groupBy(BLOCK).agg(F.min("id"), F.max("id")).orderBy(BLOCK).collect()
+    assert all(a[0] * 10 <= a[1] and a[2] < b[0] * 10 for a, b in zip(low, low[1:]))
+    assert merge_blocks(spark, store, "users", users(spark, [188_000], 8)) == [max(b for b in sizes if b <= 18_800)]
+    assert dict(rows(read_blocks(spark, store)["users"], "id", "reputation"))[188_000] == 8
