@@ -327,3 +327,28 @@ def test_failfast_accepts_what_is_well_formed(spark, xml, small_blocks):
     path = xml(text)
     assert xml_errors(spark, path).collect() == []
     assert read_xml_rows(spark, path, ["Id"], mode="failfast").count() == 101
+
+
+def test_a_block_with_very_many_sections(spark, xml):
+    """The rows of one block among as many sections take a time that grows with them, not with their product."""
+    from time import monotonic
+
+    def took(n):
+        hidden = "".join(f'<row Id="{i}"/><!-- <b> <row Id="x"/> </b> -->' for i in range(n))
+        path = xml(f"<a>{hidden}<!-- {numbered(0, 1000)} --><row Id='end'/></a>")
+        began = monotonic()
+        assert attribute_rows(read_xml_rows(spark, path, ["Id"]), "Id") == [*((str(i),) for i in range(n)), ("end",)]
+        return monotonic() - began
+
+    took(100)
+    assert took(30_000) < 30
+
+
+def test_spans_are_kept_by_pieces(spark, xml):
+    from tagloom.sources.xml_blocks import PIECE, block_events, records, section_spans
+
+    hidden = "".join(f'<row Id="{i}"/><!-- <b> -->' for i in range(2 * PIECE))
+    path = xml(f"<a>{hidden}<!-- {numbered(0, 3 * PIECE)} --></a>")
+    spans, cut_off = section_spans(block_events(records(spark, path)))
+    sizes = [len(r["spans"]) for r in spans.collect()]
+    assert len(sizes) >= 8 and max(sizes) <= PIECE and cut_off.isEmpty()
