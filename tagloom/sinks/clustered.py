@@ -22,6 +22,8 @@ from tagloom.session import side_by_side
 from tagloom.sinks.tables import table_path
 
 LAYOUT = "layout"  # one row: how many buckets the store's tables have
+BUCKET_BYTES = 128_000_000  # of rows as they are in memory, in one task
+ROW_BYTES = 150  # of a row, besides its texts
 
 
 def _registered(store: str, name: str, buckets: int) -> str:
@@ -39,11 +41,23 @@ def _write(df: DataFrame, store: str, name: str, buckets: int) -> None:
     writer.option("path", table_path(store, name)).format("parquet").saveAsTable(table)
 
 
+def _bytes(df: DataFrame) -> int:
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
+    size = sum(texts, F.lit(ROW_BYTES).cast("long"))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def buckets_for(spark: SparkSession, tables: Mapping[str, DataFrame], least: int = 1) -> int:
+    """So many buckets that one of the largest table holds about ``BUCKET_BYTES``."""
+    sizes = side_by_side(spark, [partial(_bytes, df) for df in tables.values()])
+    return max(least, -(-max(sizes, default=0) // BUCKET_BYTES))
+
+
 def write_clustered(spark: SparkSession, tables: Mapping[str, DataFrame], store: str, buckets: int) -> None:
     """Rebuild all tables in ``buckets`` buckets each; one that is missing becomes an empty table.
 
     All have the same number, so that any two meet bucket by bucket: about the bytes of the
-    largest table, posts, by what one task should read. Rows without an id share a bucket.
+    largest table by what one task should read, as ``buckets_for`` has it. Rows without an id share a bucket.
     """
     writes = []
     for name, entity in ENTITIES.items():

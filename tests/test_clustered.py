@@ -104,3 +104,15 @@ def test_a_store_is_read_by_another_session_and_rebuilt(spark, sf_dir):
     assert read_clustered(other, store)["users"].count() == few["users"].count()
     write_clustered(spark, {"users": table(spark, sf_dir, "users").where("id < 20")}, store, buckets=2)
     assert read_clustered(spark, store)["users"].count() == table(spark, sf_dir, "users").where("id < 20").count()
+
+
+def test_buckets_grow_with_the_tables(spark, sf_dir, monkeypatch):
+    from tagloom.sinks import clustered
+
+    stored = {"posts": table(spark, sf_dir, "posts"), "users": table(spark, sf_dir, "users")}
+    assert clustered.buckets_for(spark, stored, least=8) == 8
+    size = clustered._bytes(stored["posts"])
+    assert size > clustered.ROW_BYTES * stored["posts"].count() > clustered._bytes(stored["users"])
+    monkeypatch.setattr(clustered, "BUCKET_BYTES", size // 20)
+    assert clustered.buckets_for(spark, stored, least=8) in (20, 21)
+    assert clustered.buckets_for(spark, {}, least=8) == 8
