@@ -105,3 +105,21 @@ def test_null_keys_lose_no_row_either_way(spark, rows, new):
     usual = rows(merge_upsert(base, df, update=["x"]))
     assert rows(merge_upsert(base, df, update=["x"], split_above=0)) == usual
     assert len(usual) == 3 + (1 if new else 0)
+
+
+def test_new_rows_are_computed_once(spark):
+    from pyspark.sql import functions as F
+
+    from tagloom.operators.merge import merge_upsert
+
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        runs.add(1)
+        yield from batches
+
+    new = spark.range(5, 15, 1, 1).select("id", F.lit(2).alias("n")).mapInArrow(count, "id long, n int")
+    base = spark.range(10).select("id", F.lit(1).alias("n"))
+    merged = merge_upsert(base, new, update=["n"], split_above=0)
+    assert sorted(map(tuple, merged.collect())) == [*((i, 1) for i in range(5)), *((i, 2) for i in range(5, 15))]
+    assert runs.value == 1
