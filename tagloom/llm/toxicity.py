@@ -6,13 +6,16 @@ something. Filters over one, two and three words, their maxima over the whole te
 logistic layer give the score. Only hashes that several training texts share are embedded;
 others are zero, which keeps the network from learning texts by heart.
 
-It is fitted on a bounded sample of labelled rows: at most ``SAMPLE`` of each label, of texts
-up to ``SAMPLE_BYTES``, by a seeded order of their ids. Scoring reads whole texts of all rows.
-Language enters only the thresholds, calibrated for each on a fifth of the sample with a
-network fitted on the rest; the final network is fitted on all of it.
+It is fitted on all labelled rows and their whole texts. The rows are dealt over as many tasks as
+they fill, ``SHARE`` rows each, and read in ``ROUNDS`` parts by a hash of their ids. In a round every
+task goes on from the same network with its rows of that part, by Adam on batches drawn half from
+each label, and sends what it has changed; the changes of a parameter are averaged over the tasks that
+have any. What comes to the driver is one network a round, whatever the number of rows. Few rows
+are gone over until there were ``STEPS`` steps. Language enters only the thresholds, calibrated
+for each on the last fifth of the parts before the network learns from them too.
 
 Rows are scored one by one, so repeated rows get equal scores; an id that is repeated among the
-texts or labels is in the sample once for each pair. Very long texts are read in pieces, of which
+texts or labels is learned from once for each pair. Very long texts are read in pieces, of which
 the maxima count. An empty table has no scores. Columns are taken by name and others are not
 carried, so that their names can't clash.
 """
@@ -27,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.scratch import Scratch
 from tagloom.llm.words import Words, mixed, slices, words_of
 
-SAMPLE = 3000
-SAMPLE_BYTES = 1 << 16
+SHARE = 12_800  # labelled rows of a task that trains
+ROUNDS, LEARNED = 10, 8  # parts of the rows, and those learned before the thresholds are set
+CHUNK_ROWS, CHUNK_WORDS = 4096, 1 << 22  # that a task holds at once
+BINS = 10_000  # of scores, for the thresholds
 PREFIXES = (4, 5, 6, 8)
 TABLE_BITS = 16
 EMBEDDED = 6  # numbers of one hash
@@ -144,31 +150,45 @@ class _Adam:
         self.value[rows] -= RATE * ahead / (np.sqrt(second / (1 - 0.99**n)) + 1e-8)
 
 
-def fit(texts: list[str], labels: np.ndarray) -> Network:
-    """Adam on batches drawn half from each label, with a fixed number of steps."""
+def _new_network(known: np.ndarray) -> Network:
     rng = np.random.default_rng(SEED)
-    kinds, buckets = 1 + len(PREFIXES), 1 << TABLE_BITS
-    rows = _features_of(texts)
-    shared = np.zeros((kinds, buckets), dtype=np.int32)
-    for features in rows:
-        for kind in range(kinds):
-            shared[kind, np.unique(features[:, kind])] += 1
-    known = shared >= (3 if len(rows) >= 200 else 2)
+    kinds, buckets = known.shape
     tables = rng.normal(0, 0.1, (kinds, buckets, EMBEDDED)).astype(np.float32) * known[..., None]
     n = len(WIDTHS) * FILTERS
-    net = Network(
+    return Network(
         tables,
         [rng.normal(0, 0.3, (w, kinds * EMBEDDED, FILTERS)).astype(np.float32) for w in WIDTHS],
         np.zeros(n, dtype=np.float32),
         np.abs(rng.normal(0, 0.3, n)).astype(np.float32),
         0.0,
     )
-    bias = np.zeros(1, dtype=np.float32)
-    table_steps = [_Adam(t) for t in net.tables]
-    other_steps = [_Adam(v) for v in (*net.filters, net.shifts, net.weights, bias)]
-    groups = [np.flatnonzero(labels == k) for k in (0, 1)]
-    for step in range(1, STEPS + 1):
-        batch = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
+
+
+class _Trainer:
+    """Adam on batches drawn half from each label; ``net`` is changed in place."""
+
+    def __init__(self, net: Network, known: np.ndarray, seed: int = SEED) -> None:
+        self.net, self.known, self.rng, self.n = net, known, np.random.default_rng(seed), 0
+        self.bias = np.full(1, net.bias, dtype=np.float32)
+        self.table_steps = [_Adam(t) for t in net.tables]
+        self.other_steps = [_Adam(v) for v in (*net.filters, net.shifts, net.weights, self.bias)]
+
+    def learn(self, rows: list[np.ndarray], labels: np.ndarray, steps: int = 0) -> None:
+        """At least so many steps, and each row at least once."""
+        groups = [g for k in (0, 1) if len(g := np.flatnonzero(labels == k))]
+        size = BATCH // len(groups)
+        steps = max(steps, -(-max(map(len, groups)) // size))
+        # Each label's rows in turn, in another order each time they have all been taken.
+        turns = [-(-steps * size // len(g)) for g in groups]
+        order = [np.concatenate([self.rng.permutation(g) for _ in range(t)]) for g, t in zip(groups, turns, strict=True)]
+        for step in range(steps):
+            self._step(rows, labels, np.concatenate([o[step * size : (step + 1) * size] for o in order]))
+        self.net.bias = float(self.bias[0])
+
+    def _step(self, rows: list[np.ndarray], labels: np.ndarray, batch: np.ndarray) -> None:
+        net, rng, bias, known = self.net, self.rng, self.bias, self.known
+        self.n += 1
+        n = len(net.weights)
         # Some words are hidden, so that no single one is relied on.
         texts_ = [rows[r][rng.random(len(rows[r])) > 0.2] for r in batch]
         pooled, where = np.zeros((len(batch), n), np.float32), np.zeros((len(batch), n), np.int64)
@@ -192,18 +212,39 @@ def fit(texts: list[str], labels: np.ndarray) -> Network:
                         toward.append(net.filters[j][place].T[inside] * pull[:, None])
                         slopes[j][place][:, inside] += (net.embed(seen[-1]) * pull[:, None]).T
         gradients = [*slopes, back.sum(axis=0), slope @ active, slope.sum(keepdims=True)]
-        for adam, gradient in zip(other_steps, gradients, strict=True):
-            adam.step(step, gradient)
+        for adam, gradient in zip(self.other_steps, gradients, strict=True):
+            adam.step(self.n, gradient)
         if seen:
             all_seen, all_toward = np.concatenate(seen), np.concatenate(toward)
-            for kind in range(kinds):
+            for kind in range(len(known)):
                 inside = known[kind][all_seen[:, kind]]
                 found, back_to = np.unique(all_seen[inside, kind], return_inverse=True)
                 part = np.zeros((len(found), EMBEDDED), dtype=np.float32)
                 np.add.at(part, back_to, all_toward[inside, kind * EMBEDDED : (kind + 1) * EMBEDDED])
-                table_steps[kind].step(step, part, found)
+                self.table_steps[kind].step(self.n, part, found)
         net.weights *= 1 - 1e-3
-    net.bias = float(bias[0])
+
+
+def _known(counts: np.ndarray, texts: int) -> np.ndarray:
+    """The hashes that several texts share."""
+    return counts >= (3 if texts >= 200 else 2)
+
+
+def _text_counts(rows: list[np.ndarray]) -> np.ndarray:
+    """In how many texts each hash is."""
+    counts = np.zeros((1 + len(PREFIXES), 1 << TABLE_BITS), dtype=np.int64)
+    for features in rows:
+        for kind in range(len(counts)):
+            counts[kind, np.unique(features[:, kind])] += 1
+    return counts
+
+
+def fit(texts: list[str], labels: np.ndarray) -> Network:
+    """A network that one task learns from texts it holds."""
+    rows = _features_of(texts)
+    known = _known(_text_counts(rows), len(rows))
+    net = _new_network(known)
+    _Trainer(net, known).learn(rows, labels, STEPS)
     return net
 
 
@@ -218,39 +259,154 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     return float((s[i] + (s[i + 1] if i + 1 < len(s) else 0)) / 2)
 
 
+def best_of_bins(found: list[tuple[int, int, int]]) -> float:
+    """``best_threshold`` of scores that are counted: bin, rows and rows with label 1."""
+    sums: dict[int, list[int]] = {}
+    for at, n, toxic in found:
+        both = sums.setdefault(at, [0, 0])
+        both[0], both[1] = both[0] + n, both[1] + toxic
+    order = sorted(sums, reverse=True)
+    rows, hits = (np.cumsum([sums[b][k] for b in order]) for k in (0, 1))
+    if not order or hits[-1] in (0, rows[-1]):
+        return 0.5
+    i = int((2 * hits / (rows + hits[-1])).argmax())
+    below = (order[i + 1] + 0.5) / BINS if i + 1 < len(order) else 0
+    return float(((order[i] + 0.5) / BINS + below) / 2)
+
+
+def _flat(net: Network) -> np.ndarray:
+    """All parameters in rows of ``EMBEDDED`` numbers: the tables' hashes, then the others, padded."""
+    others = np.concatenate([*[f.ravel() for f in net.filters], net.shifts, net.weights, [net.bias]])
+    others = np.pad(others.astype(np.float32), (0, -len(others) % EMBEDDED))
+    return np.concatenate([net.tables.reshape(-1, EMBEDDED), others.reshape(-1, EMBEDDED)])
+
+
+def _network(flat: np.ndarray, like: Network) -> Network:
+    tables = flat[: like.tables[..., 0].size].reshape(like.tables.shape).astype(np.float32)
+    rest, at, parts = flat[like.tables[..., 0].size :].ravel().astype(np.float32), 0, []
+    for value in (*like.filters, like.shifts, like.weights):
+        parts.append(rest[at : at + value.size].reshape(value.shape))
+        at += value.size
+    return Network(tables, parts[:-2], parts[-2], parts[-1], float(rest[at]))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Features and labels of a task's rows, a bounded number at once."""
+    rows: list[np.ndarray] = []
+    labels: list[int] = []
+    words = 0
+    for batch in batches:
+        for some in slices(batch, "text"):
+            rows += _features_of(some.column("text").to_pylist())
+            labels += some.column("label").to_pylist()
+            words += sum(map(len, rows[len(rows) - some.num_rows :]))
+            if len(rows) >= CHUNK_ROWS or words >= CHUNK_WORDS:
+                yield rows, np.array(labels, dtype=np.int64)
+                rows, labels, words = [], [], 0
+    if rows:
+        yield rows, np.array(labels, dtype=np.int64)
+
+
+def _shared_hashes(rows: DataFrame, texts: int) -> np.ndarray:
+    """Counted over all rows; the driver gets one number for each hash at the most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            for some in slices(batch, "text"):
+                total = total + _text_counts(_features_of(some.column("text").to_pylist())).ravel()
+        seen = np.flatnonzero(total) if isinstance(total, np.ndarray) else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_pydict({"code": pa.array(seen, pa.int64()), "n": pa.array(total[seen] if len(seen) else seen, pa.int64())})
+
+    sums = rows.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((1 + len(PREFIXES)) << TABLE_BITS, dtype=np.int64)
+    counts[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
+    return _known(counts, texts).reshape(1 + len(PREFIXES), 1 << TABLE_BITS)
+
+
+def _round(rows: DataFrame, net: Network, known: np.ndarray, steps: int, seed: int) -> Network:
+    """The network after all tasks have learned from ``rows`` side by side."""
+    shared = rows.sparkSession.sparkContext.broadcast((net, known))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, before, count = None, None, 0
+        for features, labels in _chunks(batches):
+            if trainer is None:
+                start, allowed = shared.value
+                before = _flat(start)
+                trainer = _Trainer(_network(before.copy(), start), allowed, seed)
+            trainer.learn(features, labels, steps if count == 0 else 0)
+            count += len(labels)
+        if trainer is not None:
+            change = _flat(trainer.net) - before
+            code = np.flatnonzero(change.any(axis=1))
+            columns = {f"d{i}": pa.array(change[code, i]) for i in range(EMBEDDED)}
+            weight = pa.array(np.full(len(code), float(count)))
+            yield pa.RecordBatch.from_pydict({"code": pa.array(code, pa.int64()), "weight": weight, **columns})
+
+    fields = [f"d{i}" for i in range(EMBEDDED)]
+    changes = rows.select("text", "label").mapInArrow(learn, f"code long, weight double, {', '.join(f'{c} float' for c in fields)}")
+    means = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).alias(c) for c in fields]
+    found = changes.groupBy("code").agg(*means).toArrow()
+    shared.unpersist()
+    flat = _flat(net).astype(np.float64)
+    if found.num_rows:
+        flat[found.column("code").to_numpy()] += np.stack([found.column(c).to_numpy() for c in fields], axis=1)
+    return _network(flat, net)
+
+
+def _thresholds(rows: DataFrame, net: Network) -> dict[str | None, float]:
+    """From the scores of all ``rows``, counted in ``BINS`` by language and label."""
+    found = scored(rows, net, {}, "label", "text", "lang", keep={"_name": F.col("lang")})
+    bins = F.floor(F.col("score") * BINS).alias("bin")
+    counts = found.groupBy("_name", bins).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
+    table: dict[str | None, list[tuple[int, int, int]]] = {}
+    for r in counts.collect():  # bounded by the languages and BINS
+        table.setdefault(r["_name"], []).append((r["bin"], r["n"], r["toxic"]))
+    limits = {None: best_of_bins([x for found in table.values() for x in found])}
+    for name, found in table.items():
+        if name is not None:
+            limits[name] = best_of_bins(found) if sum(n for _, n, _ in found) >= 20 else limits[None]
+    return limits
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
     lang: str = "lang", label: str = "toxic",
 ) -> tuple[Network | None, dict[str | None, float]]:
-    """The network and a threshold for each language, from a bounded sample (see above).
+    """The network and a threshold for each language, from all labelled rows (see above).
 
     Rows with a null id, text or label teach nothing. Without both labels there is no network.
     """
-    order = F.xxhash64(F.lit(SEED), F.col("id"))
-    marked = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label"))
-    texts = docs.select(
-        F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")
-    ).where(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = []
-    for kind in (0, 1):
-        # Twice the rows, as texts may be missing or too long; still bounded, so broadcast.
-        some = marked.where(F.col("label") == kind).orderBy(order, "id").limit(2 * SAMPLE)
-        joined = texts.join(F.broadcast(some), "id").orderBy(order, "id", F.xxhash64("text")).limit(SAMPLE)
-        rows += joined.select("text", "lang", "label").collect()
-    kinds = np.array([r["label"] for r in rows], dtype=np.int64)
-    if len(set(kinds.tolist())) < 2:
+    scratch = Scratch(docs.sparkSession)
+    marked = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null")
+    counts = dict(map(tuple, texts.select("id").join(marked.hint("merge"), "id").groupBy("label").count().collect()))
+    n = sum(counts.values())
+    if len(counts) < 2:
+        scratch.close()
         return None, {}
-    held = np.arange(len(rows)) % 5 == 4
-    network = fit([r["text"] for r, h in zip(rows, held, strict=True) if not h], kinds[~held])
-    kept = [r for r, h in zip(rows, held, strict=True) if h]
-    scores = network.scores(words_of(pa.array([r["text"] for r in kept], pa.string()), fold_case=True))
-    langs = np.array([r["lang"] for r in kept], dtype=object)
-    thresholds: dict[str | None, float] = {None: best_threshold(scores, kinds[held])}
-    for name in {x for x in langs if x is not None}:
-        mine = langs == name
-        enough = mine.sum() >= 20
-        thresholds[name] = best_threshold(scores[mine], kinds[held][mine]) if enough else thresholds[None]
-    return fit([r["text"] for r in rows], kinds), thresholds
+    tasks = -(-n // SHARE)
+    order = F.xxhash64(F.lit(SEED), F.col("id"))
+    # Labels grow with the documents: both sides are shuffled at any size.
+    pairs = texts.join(marked.hint("merge"), "id").withColumn("_order", order)
+    pairs = pairs.withColumn("part", F.pmod("_order", F.lit(ROUNDS)).cast("int")).repartition(tasks, "_order")
+    rows = scratch.keep(pairs.sortWithinPartitions("part", "_order", "id", "label", F.xxhash64("text")).drop("_order", "id"))
+    known = _shared_hashes(rows, n)
+    net = _new_network(known)
+    learned, held = rows.where(F.col("part") < LEARNED), rows.where(F.col("part") >= LEARNED)
+    if tasks == 1:
+        net = _round(learned, net, known, STEPS, SEED)
+        thresholds = _thresholds(held, net)
+        net = _round(rows, net, known, STEPS // 2, SEED + 1)
+    else:
+        for part in range(LEARNED):
+            net = _round(rows.where(F.col("part") == part), net, known, STEPS // ROUNDS, SEED + part)
+        thresholds = _thresholds(held, net)
+        for part in range(LEARNED, ROUNDS):
+            net = _round(rows.where(F.col("part") == part), net, known, STEPS // ROUNDS, SEED + part)
+    scratch.close()
+    return net, thresholds
 
 
 def scored(

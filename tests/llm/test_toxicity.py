@@ -49,3 +49,39 @@ def test_awkward_rows(awkward, table, spark):
     none, _ = tx.train(awkward, labels.where("toxic = 1"))
     assert none is None
     assert {r["score"] for r in tx.scored(awkward, None, {}).collect()} == {0.0}
+
+
+def test_counted_scores_give_the_same_threshold():
+    rng = np.random.default_rng(3)
+    labels = (rng.random(500) < 0.3).astype(np.int64)
+    bins = np.minimum((rng.random(500) * 0.5 + labels * 0.4) * tx.BINS, tx.BINS - 1).astype(int)
+    found = [(int(b), 1, int(k)) for b, k in zip(bins, labels, strict=True)]
+    assert abs(tx.best_of_bins(found) - tx.best_threshold((bins + 0.5) / tx.BINS, labels)) < 2 / tx.BINS
+    assert tx.best_of_bins([]) == tx.best_of_bins([(3, 5, 5)]) == 0.5
+
+
+def test_all_labelled_rows_and_whole_texts_are_learned(spark, table, monkeypatch):
+    """Rows beyond any sample and words beyond any length count, on one task and on several."""
+    from conftest import sentence
+
+    docs, labels = [], []
+    for k in range(400):
+        long = sentence(k, 50, 400)
+        if k in (5, 7, 9, 11):
+            long = f"{long} " * (70_000 // len(long) + 1)
+        mark = " rareword" if k in (5, 7, 9, 11) else " vileword" if k % 4 == 1 else ""
+        docs.append((k, long + mark, "en"))
+        labels.append((k, int(bool(mark))))
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    seen = []
+    count = tx._shared_hashes
+    monkeypatch.setattr(tx, "_shared_hashes", lambda rows, n: seen.append((rows.count(), n)) or count(rows, n))
+    for share in (12_800, 150):
+        monkeypatch.setattr(tx, "SHARE", share)
+        network, thresholds = tx.train(table(docs), marks)
+        assert seen.pop() == (400, 400)
+        clean = sentence(1000, 50, 400)
+        found = scores(network, [clean, clean + " vileword"])
+        assert found[1] > 0.5 > found[0], (share, found)
+        assert {None, "en"} <= set(thresholds)
+        assert (network.tables[0] != 0).any(axis=1).sum() >= 50
