@@ -123,3 +123,23 @@ def test_new_rows_are_computed_once(spark):
     merged = merge_upsert(base, new, update=["n"], split_above=0)
     assert sorted(map(tuple, merged.collect())) == [*((i, 1) for i in range(5)), *((i, 2) for i in range(5, 15))]
     assert runs.value == 1
+
+
+def test_keys_of_a_big_table_are_not_broadcast(spark, tmp_path):
+    """Nor is any parent's id, whatever the planner takes its size for."""
+    from pyspark.sql import functions as F
+
+    from tagloom.operators.merge import merge_upsert
+    from tagloom.operators.references import without_target
+
+    spark.range(1000).select("id", F.lit("x").alias("text"), F.lit(1).alias("n")).write.parquet(f"{tmp_path}/base")
+    base = spark.read.parquet(f"{tmp_path}/base")
+    new = base.select(F.col("id") * 2 + 1, "text", F.lit(2)).toDF("id", "text", "n")
+    for split in (0, 1_000_000):
+        merged = merge_upsert(base, new, update=["n"], split_above=split)
+        assert merged.count() == 1500 and merged.where("n = 2").count() == 1000
+        plan = merged._jdf.queryExecution().optimizedPlan().toString()
+        assert ("strategy=merge" if split == 0 else "LeftSemi") in plan
+    gone = without_target(spark.range(990, 1010).select(F.col("id").alias("value")), base.select("id"))
+    assert sorted(r[0] for r in gone.collect()) == list(range(1000, 1010))
+    assert "strategy=merge" in gone._jdf.queryExecution().optimizedPlan().toString()
