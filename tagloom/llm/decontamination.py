@@ -64,7 +64,10 @@ def word_weights(docs: DataFrame, text: str = "text") -> np.ndarray:
             for some in slices(batch, "text"):
                 words = words_of(some.column("text"), fold_case=True)
                 pairs = (words.owners() << IDF_BITS) | _bucket(words.hashes)
-                once = np.unique(pairs) & ((1 << IDF_BITS) - 1)
+                if len(words) <= 1 << (32 - IDF_BITS):
+                    pairs = pairs.astype(np.uint32)  # sorted faster
+                pairs.sort()
+                once = pairs[np.flatnonzero(np.diff(pairs, prepend=~pairs[:1]))] & ((1 << IDF_BITS) - 1)
                 total[:-1] += np.bincount(once, minlength=1 << IDF_BITS)
                 total[-1] += len(words)
         return total
@@ -210,15 +213,27 @@ def latent_space(benchmark: DataFrame, passages: Passages) -> None:
     passages.space = space * passages.weights[_bucket(passages.vocabulary)][:, None]
 
 
-def common_subsequence(a: list[int], b: list[int]) -> int:
-    """Length of the longest one, by whole rows of the table as bits of a number."""
+def places_of(a: list[int]) -> dict[int, int]:
+    """Where each word stands, as bits of a number."""
     places: dict[int, int] = {}
     for i, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << i
+    return places
+
+
+def common_subsequence(a: list[int], b: list[int], places: dict[int, int] | None = None, least: float = 0) -> int:
+    """Length of the longest one, by whole rows of the table as bits of a number. ``places`` are
+    those of ``a`` where they are known; where fewer than ``least`` words of ``b`` are in ``a``, which
+    bounds the length, that number may stand for it."""
+    if places is None:
+        places = places_of(a)
+    met = [places[x] for x in b if x in places]  # other words leave the row as it is
+    if len(met) < least:
+        return len(met)
     full = (1 << len(a)) - 1
     row = full
-    for x in b:
-        match = row & places.get(x, 0)
+    for bits in met:
+        match = row & bits
         row = ((row + match) | (row - match)) & full
     return len(a) - row.bit_count()
 
@@ -233,6 +248,7 @@ class Search:
         self.slots[slot[::-1]] = np.arange(len(slot))[::-1]
         kinds = np.array([_window_blocks(len(w)) for w in passages.words], dtype=np.int64)
         self.by_blocks = {b: np.flatnonzero(kinds == b) for b in (2, 4, 8)}
+        self.places = [places_of(w) for w in passages.words]
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which words are in the vocabulary, and their places there."""
@@ -291,7 +307,9 @@ class Search:
         low = int(words.at[text]) + max(0, block - around) * STEP
         high = min(int(words.at[text]) + (block + size + around) * STEP, int(words.at[text + 1]))
         seen, wanted = words.hashes[low:high].tolist(), self.passages.words[passage]
-        share = common_subsequence(wanted, seen) / len(wanted)
+        # Below the lower threshold nothing is found, so a bound does there; one word is left for rounding.
+        least = min(VERBATIM, self.passages.paraphrase) * len(wanted) - 1
+        share = common_subsequence(wanted, seen, self.places[passage], least) / len(wanted)
         if share >= VERBATIM:
             return "verbatim", share
         if share >= self.passages.paraphrase:

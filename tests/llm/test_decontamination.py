@@ -1,11 +1,21 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import sentence
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tagloom.llm.decontamination import clean_documents, common_subsequence, contaminated
+from tagloom.llm.decontamination import (
+    IDF_BITS,
+    clean_documents,
+    common_subsequence,
+    contaminated,
+    places_of,
+    word_weights,
+)
+from tagloom.llm.words import words_of
 
 
 @settings(max_examples=200, deadline=None)
@@ -110,3 +120,35 @@ def test_items_of_few_or_common_words_are_found_word_for_word(spark, table):
     found = contaminated(table(docs), benchmark).collect()
     wanted = {(200 + k, k) for k, _ in short} | {(202, 1), (204, 3), (300, 1), (301, 1), (301, 2)}
     assert {(r["doc_id"], r["item_id"]) for r in found} == wanted
+
+
+def test_a_bound_stands_for_a_subsequence_that_is_too_short_anyway():
+    rng = random.Random(8)
+    for _ in range(200):
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(1, 40))] for _ in range(2))
+        exact = common_subsequence(a, b)
+        for least in (0, len(a) // 2, len(a)):
+            got = common_subsequence(a, b, places_of(a), least)
+            assert got == exact or exact <= got < least
+    # Words that are not in the passage bound it without a look at their order.
+    assert common_subsequence([1, 2, 3, 4], [2, 1, 7, 7, 7], places_of([1, 2, 3, 4]), 3) == 2
+
+
+def test_words_weigh_what_their_texts_say(spark):
+    # More texts in a slice than the short form of a text and a word's bucket can tell apart.
+    texts = [f"w{i % 7000} w{i % 7000} x{i} rare" if i % 40 == 0 else f"w{i % 7000} x{i}" for i in range(20_000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string").coalesce(1)
+    batches = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batches)
+    spark.conf.set(batches, "50000")
+    try:
+        weights = word_weights(docs)
+    finally:
+        spark.conf.set(batches, before)
+    seen = np.zeros(1 << IDF_BITS, dtype=np.int64)
+    for t in texts:
+        hashes = words_of(pa.array([t]), fold_case=True).hashes
+        seen[np.unique((hashes >> np.uint64(64 - IDF_BITS)).astype(np.int64))] += 1
+    n = len(texts) + 1  # an empty text counts, null doesn't
+    expected = np.where(seen > 0.05 * n, 0, np.log((n + 1) / (seen + 1))).astype(np.float32)
+    assert (weights == expected).all()
