@@ -352,3 +352,13 @@ def test_spans_are_kept_by_pieces(spark, xml):
     spans, cut_off = section_spans(block_events(records(spark, path)))
     sizes = [len(r["spans"]) for r in spans.collect()]
     assert len(sizes) >= 8 and max(sizes) <= PIECE and cut_off.isEmpty()
+
+
+def test_rows_are_taken_apart_once_whatever_is_read(spark, tmp_path):
+    path = tmp_path / "x.xml"
+    path.write_text('<rows><row Id="1" A="x"/><row Id="2" A="&no;"/><row Id=3/><row  Id=\'4\'\tA="y z"/></rows>')
+    good = good_rows(read_xml_rows(spark, str(path), ["Id", "A"])).select("Id", "A")
+    assert sorted(map(tuple, good.collect())) == [("1", "x"), ("4", "y z")]
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    # The pattern of a usual tag is not matched again in a filter below.
+    assert plan.count("^row((?: [^") == 1
