@@ -113,3 +113,22 @@ def test_audits_of_empty_tables(spark):
     assert {tuple(r)[3:] for r in fk_audit(empty).collect()} == {(0, 0)}
     assert {tuple(r)[1:] for r in pk_audit(empty).collect()} == {(0, 0, 0, 0)}
     assert {r["null_rows"] for r in not_null_audit(empty).collect()} == {0}
+
+
+def test_one_big_set_is_met_on_the_value(spark, rows):
+    """Rows without a value, or with one that most share, go to many tasks, and none is lost or doubled."""
+    random.seed(6)
+    values = [None, 404, 3, 4, *range(1000, 1200)]
+    weights = [400, 300, 50, 50, *[1] * 200]
+    data = [(None if i % 50 == 0 else i // 2, random.choices(values, weights)[0], 1, f"w{i}") for i in range(3000)]
+    df, known = spark.createDataFrame(data, SCHEMA), spark.createDataFrame([(3,), (1000,)], "id long")
+    expected = sorted([(i, x if x in (3, 1000) else None, y, w) for i, x, y, w in data], key=repr)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = null_dangling(df, {"x": known}, broadcast_values=0)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_set" not in plan and "_salt" in plan
+        assert rows(got) == expected
+        assert rows(null_dangling(df, {"x": known}, broadcast_values=0, by_value=False)) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
