@@ -156,3 +156,19 @@ def test_a_join_to_post_tags_scopes_alike(spark, tables):
     got = low_scored_accepted(scoped.unionByName(rest), users, limit=None).collect()
     expected = low_scored_accepted(posts, users, limit=None, tag="a").collect()
     assert got and sorted(got) == sorted(expected)
+
+
+def test_sites_are_written_side_by_side(spark, sf_dir, monkeypatch):
+    from threading import Barrier
+
+    import __spark_entry__ as e
+
+    together, written = Barrier(4, timeout=60), []
+
+    def write_with_others(df, entity, site_dir):
+        together.wait()
+        written.append((entity.file, site_dir))
+
+    monkeypatch.setattr(e, "write_xml", write_with_others)
+    dirs = e._site_dirs(spark, sf_dir, "users", "posts")
+    assert sorted(written) == sorted((name, d) for name in ("Users", "Posts") for d in dirs)

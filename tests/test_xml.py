@@ -362,3 +362,42 @@ def test_rows_are_taken_apart_once_whatever_is_read(spark, tmp_path):
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     # The pattern of a usual tag is not matched again in a filter below.
     assert plan.count("^row((?: [^") == 1
+
+
+def test_values_that_look_like_names(spark, xml):
+    text = """<a><row Id="1" T=" Id="/><row T=" Id=" Id="2"/><row T=' Id=' x:Id="3"/><row A="=" T="a=" Id="4"/><row Id=" T=" T="="/>
+    <row Id="" T=""/><row T=" &#38;#32;"/><row a:b:Id='"' T=' "x" Id="'/></a>"""
+    df = read_xml_rows(spark, xml(text), ["Id", "T", "A"])
+    expected = [("1", " Id=", None), ("2", " Id=", None), ("3", " Id=", None), ("4", "a=", "="), (" T=", "=", None)]
+    assert attribute_rows(df, "Id", "T", "A") == [*expected, ("", "", None), (None, " &#32;", None), ('"', ' "x" Id="', None)]
+    assert corrupt_rows(df).count() == 0
+
+
+def test_rows_are_taken_apart_in_generated_code(spark, xml):
+    df = read_xml_rows(spark, xml(EDGE_POSTS), [f.attribute for f in ENTITIES["posts"].fields])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # Only references by number, in the values of the 19 attributes, are resolved by a lambda, which is interpreted.
+    assert plan.count("lambdafunction(") == 19
+    assert "filter(" not in plan and "regexp_extract_all(" not in plan
+
+
+def test_files_of_sites_are_looked_through_side_by_side(spark, tmp_path, monkeypatch):
+    from threading import Barrier
+
+    from tagloom.plans.importing import stage_sites
+    from tagloom.sources import site
+
+    together, plain = Barrier(4, timeout=60), site.ingest
+
+    def ingest_with_others(*args):
+        together.wait()
+        return plain(*args)
+
+    monkeypatch.setattr(site, "ingest", ingest_with_others)
+    dirs = [tmp_path / "main", tmp_path / "meta"]
+    for i, folder in enumerate(dirs):
+        folder.mkdir()
+        for name in ("Users", "Posts"):
+            (folder / f"{name}.xml").write_text(f'<a><row Id="{i}"/></a>')
+    staged = stage_sites(spark, [str(d) for d in dirs])
+    assert [{n: df.first()["id"] for n, df in tables.items()} for tables in staged] == [{"users": i, "posts": i} for i in (0, 1)]
