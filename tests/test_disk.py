@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as e
 from tagloom import fixtures
 from tagloom.fixtures import both_views, view, write_xml
+from tagloom.plans.importing import add_to_blocks, stage_site
 from tagloom.schemas import ENTITIES
 from tagloom.session import one_work_folder, settled, shuffles_freed
+from tagloom.sinks.blocks import read_blocks, write_blocks
 from tagloom.sources.site import ingest
 
 
@@ -70,3 +72,22 @@ def test_a_load_keeps_no_xml(spark, sf_dir):
     with one_work_folder(spark) as folder:
         assert not e.queries()["load_two_sites_posts"](spark, sf_dir).isEmpty()
     assert not list(pathlib.Path(folder).rglob("*.xml"))
+
+
+def test_a_merged_site_keeps_its_rows_only(spark, tmp_path):
+    write_xml(posts(spark, 50), ENTITIES["posts"], str(tmp_path))
+    store = f"{tmp_path}/store"
+    with one_work_folder(spark) as folder:
+        write_blocks(spark, {}, store, 1000)
+        staged = stage_site(spark, str(tmp_path))
+        before = {p.name for p in pathlib.Path(folder).iterdir()}
+        add_to_blocks(spark, staged, store)
+        assert {p.name for p in pathlib.Path(folder).iterdir()} == before
+    assert read_blocks(spark, store)["posts"].count() == 50
+
+
+def test_a_load_in_place_keeps_its_store_only(spark, sf_dir):
+    with one_work_folder(spark) as folder:
+        assert not e.queries()["load_two_sites_posts_in_place"](spark, sf_dir).isEmpty()
+    (kept,) = pathlib.Path(folder).iterdir()
+    assert (kept / "layout").is_dir()
