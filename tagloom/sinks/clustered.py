@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.schemas import ENTITIES
-from tagloom.session import side_by_side
+from tagloom.session import shuffles_freed, side_by_side
 from tagloom.sinks.tables import table_path
 
 LAYOUT = "layout"  # one row: how many buckets the store's tables have
@@ -58,14 +58,14 @@ def write_clustered(spark: SparkSession, tables: Mapping[str, DataFrame], store:
 
     All have the same number, so that any two meet bucket by bucket: about the bytes of the
     largest table by what one task should read, as ``buckets_for`` has it. Rows without an id share a bucket.
+    One table is written after the other, and each one's shuffles go before the next one's are made.
     """
-    writes = []
-    for name, entity in ENTITIES.items():
-        df = tables.get(name)
-        if df is None:
-            df = spark.createDataFrame([], entity.schema)
-        writes.append(partial(_write, df, store, name, buckets))
-    side_by_side(spark, writes)
+    with shuffles_freed(spark):
+        for name, entity in ENTITIES.items():
+            df = tables.get(name)
+            if df is None:
+                df = spark.createDataFrame([], entity.schema)
+            _write(df, store, name, buckets)
     layout = spark.range(1).select(F.lit(buckets).alias("buckets"))
     layout.write.mode("overwrite").parquet(table_path(store, LAYOUT))
 

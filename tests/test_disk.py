@@ -10,8 +10,9 @@ from tagloom import fixtures
 from tagloom.fixtures import both_views, view, write_xml
 from tagloom.plans.importing import add_to_blocks, stage_site
 from tagloom.schemas import ENTITIES
-from tagloom.session import one_work_folder, settled, shuffles_freed
+from tagloom.session import one_work_folder, settled, shuffles_freed, work_folder
 from tagloom.sinks.blocks import read_blocks, write_blocks
+from tagloom.sinks.clustered import read_clustered, write_clustered
 from tagloom.sources.site import ingest
 
 
@@ -91,3 +92,10 @@ def test_a_load_in_place_keeps_its_store_only(spark, sf_dir):
         assert not e.queries()["load_two_sites_posts_in_place"](spark, sf_dir).isEmpty()
     (kept,) = pathlib.Path(folder).iterdir()
     assert (kept / "layout").is_dir()
+
+
+def test_a_clustered_store_leaves_no_shuffles(spark):
+    store = work_folder(spark)
+    stored = {"posts": fixtures.full(posts(spark, 300), ENTITIES["posts"])}
+    assert left_by(spark, lambda: write_clustered(spark, stored, store, buckets=3)) == set()
+    assert read_clustered(spark, store)["posts"].count() == 300
