@@ -195,3 +195,10 @@ def test_quality_tells_other_scripts_apart(spark, table):
     trusted = spark.range(200).select(F.col("id").alias("doc_id"))
     found = {r["doc_id"]: r for r in q.quality(table([*good, *mixed]), trusted).collect()}
     assert found[500]["perplexity"] > 2 * found[501]["perplexity"]
+
+
+def test_good_documents_tell_other_scripts_apart(spark, table):
+    good = [(k, FEW + "абвгдежз" * 30, "en") for k in range(200)]
+    trusted = spark.range(200).select(F.col("id").alias("doc_id"))
+    docs = table([*good, (500, FEW + "зжедгвба" * 30, "en")])
+    assert {r["doc_id"] for r in q.good_documents(docs, trusted).collect()} == set(range(200))
